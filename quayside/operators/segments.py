@@ -108,12 +108,17 @@ def _squared_distance(centre: Sequence[float], columns: Sequence[str]) -> Column
 def nearest_centroid(
     points: DataFrame, centres: Sequence[Sequence[float]], columns: Sequence[str] = tuple(Z),
 ) -> DataFrame:
-    """Closest centre per row (the first one on a tie) and the squared distance."""
+    """Closest centre per row (the first one on a tie) and the squared distance.
+
+    The label is declared non-null: otherwise a later join on it would make
+    Catalyst push a null check, and with it the whole distance expression, down
+    to the scan.
+    """
     options = F.array(*[
         F.struct(_squared_distance(c, columns).alias("d"), F.lit(i).alias("i"))
         for i, c in enumerate(centres)])
     return points.withColumn("_best", F.array_min(options)).withColumns({
-        "cluster": F.col("_best.i"), "squared_distance": F.col("_best.d")}).drop("_best")
+        "cluster": F.coalesce(F.col("_best.i"), F.lit(0)), "squared_distance": F.col("_best.d")}).drop("_best")
 
 
 def _weight(points: DataFrame) -> Column:
@@ -317,8 +322,12 @@ def fit_kmeans(points: DataFrame, k: int, n_init: int, seed: int, max_iter: int
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 
-def fit_hierarchical(points: DataFrame, k: int, seed: int, max_iter: int = 300):
-    """A divisive tree over all rows in place of an agglomerative one on a sample."""
+def fit_hierarchical(points: DataFrame, k: int, seed: int, max_iter: int = 20):
+    """A divisive tree over all rows in place of an agglomerative one on a sample.
+
+    Every split runs all of its iterations, so ``max_iter`` is kept small; two
+    centres settle within a few.
+    """
     return BisectingKMeans(k=k, featuresCol="vector", weightCol="w",
                            maxIter=max_iter, seed=seed).fit(points)
 
@@ -341,7 +350,7 @@ def sweep(
         algorithm, k = job
         if algorithm == "KMeans":
             return job, fit_kmeans(vectors, k, n_init, seed, max_iter)
-        return job, fit_hierarchical(vectors, k, seed, max_iter)
+        return job, fit_hierarchical(vectors, k, seed)
 
     jobs = [(a, k) for k in ks for a in algorithms]
     with ThreadPool(parallel_fits) as pool:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,15 +25,12 @@ def local_session(cpus: int | str = "*", app: str = "quayside") -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder of the session.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder of the cluster, or a private one for local tests.
 
-    The folder comes from ``spark.checkpoint.dir`` (or an earlier
-    ``setCheckpointDir``); only where neither is set, as in local tests, is a
-    private one made. The checkpoint is a reliable one: files outlive the
-    executors that wrote them.
+    It comes from ``spark.checkpoint.dir`` or an earlier ``setCheckpointDir``;
+    only where neither is set, and only in local mode, a folder is made.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir")
@@ -41,4 +39,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise RuntimeError("spark.checkpoint.dir must name a shared folder")
             folder = tempfile.mkdtemp(prefix="quayside-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path for intermediate files, next to the checkpoints."""
+    return f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read on from there.
+
+    The checkpoint is a reliable one: its files outlive the executors that
+    wrote them.
+    """
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
