@@ -622,9 +622,9 @@ having sum(teu_equivalent) > any_value(teu_capacity) * 0.01"""),
 select cast(ts as date) as date, cast(hour(ts) as int) as hour, event_type, count(*) as gate_throughput_hr
 from events group by all""",
     "events_hourly_stream": """
-select cast(ts as date) as date, cast(hour(ts) as int) as hour, count(*) as gate_throughput_hr from events
-group by date_trunc('hour', ts), all
-having date_trunc('hour', ts) + interval 1 hour <= (select max(ts) - interval 2 hour from events)""",
+select cast(h as date) as date, cast(hour(h) as int) as hour, n as gate_throughput_hr
+from (select date_trunc('hour', ts) as h, count(*) as n from events group by date_trunc('hour', ts))
+where h + interval 1 hour <= (select max(ts) - interval 2 hour from events)""",
 
     "executive_kpis": sql(FEATS + "," + BLOCK_DAY, f"""
 select count(*) as total_containers, {MEAN_DAYS} as avg_dwell_days,
@@ -862,8 +862,9 @@ from feats f join labelled l using (container_id) group by l.cluster"""),
     "temporal_split": sql(series(True), """
 select series_id, start_date, n as train_days, cast(m as int) as test_days from series"""),
     "holt_winters": sql(series(True) + HW_STEPS, curve("hw"), recursive=True),
-    "simple_smoothing": sql(series(True, "date < (select min(date) from daily) + 15") + SES_STEPS,
-                            curve("ses"), recursive=True),
+    "simple_smoothing": sql(series(True, "date < (select min(date) from daily) + 15") + SES_STEPS, """
+select series_id, model, start_date + cast(pos as int) as date, zone, actual, round(predicted, 12) as predicted
+from ses""", recursive=True),
     "seasonal_moving_average": sql(series(True) + SMA_PARTS, curve("sma")),
     "forecast_accuracy": sql(series(True) + HW_STEPS + SMA_PARTS + "," + ERRORS, """
 select series_id, model, round(mape, 5) as mape, round(rmse, 5) as rmse, round(mae, 5) as mae from errors""",

@@ -640,8 +640,11 @@ def simple_smoothing(spark, sf_dir):
     """Series too short for a season: the first days of the calendar."""
     series = daily(spark, sf_dir, ["yard_block"])
     first = series.agg(F.min("date")).scalar()
-    return _curve(forecast.holt_winters(
-        forecast.split_series(series.where(F.datediff("date", first) < 15))))
+    models = forecast.holt_winters(
+        forecast.split_series(series.where(F.datediff("date", first) < 15)))
+    # Twelve places hold these values exactly, so rounding meets no ties.
+    return rounded(forecast.forecast_curve(models), 12, "predicted").drop(
+        "band_15pct_low", "band_15pct_high")
 
 
 @register
