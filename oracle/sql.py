@@ -61,7 +61,7 @@ charged as (
     * dwell_days * teu_equivalent as charge
  from priced),
 milled as (
- select *, case when dwell_days is not null then cast(round(charge * 1e6) as bigint) end as micro from charged),
+ select *, case when dwell_days is not null then cast(round_even(charge * 1e6, 0) as bigint) end as micro from charged),
 feats as (
  select *,
   case when dwell_hours < 24 then 'short' when dwell_days > 1 and dwell_days <= 3 then 'normal'
@@ -705,11 +705,11 @@ less as (
  select *, greatest(dwell_days - 1, 0) as d1, greatest(0e0, greatest(dwell_days - 1, 0) - free_days) as b1
  from feats where dwell_days is not null),
 less_charge as (
- select *, cast(round((least(4e0, b1) * 15e0 * teu_equivalent
+ select *, cast(round_even((least(4e0, b1) * 15e0 * teu_equivalent
   + least(6e0, greatest(0e0, b1 - 4e0)) * 30e0 * teu_equivalent
   + least(11e0, greatest(0e0, b1 - 10e0)) * 55e0 * teu_equivalent
   + least(9978e0, greatest(0e0, b1 - 21e0)) * 85e0 * teu_equivalent
-  + case container_type when 'reefer' then 25e0 when 'hazardous' then 18e0 else 0e0 end * d1 * teu_equivalent) * 1e6)
+  + case container_type when 'reefer' then 25e0 when 'hazardous' then 18e0 else 0e0 end * d1 * teu_equivalent) * 1e6, 0)
   as bigint) as micro1 from less),
 less_cents as (
  select *, micro1 // 10000 + case when micro1 % 10000 > 5000

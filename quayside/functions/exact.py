@@ -33,7 +33,7 @@ def mean_days(micros: Column) -> Column:
 
 
 def cents(amount: Column) -> Column:
-    return F.round(amount * 100).cast("bigint")
+    return F.rint(amount * 100).cast("bigint")
 
 
 def sum_money(amount: Column) -> Column:
@@ -48,13 +48,10 @@ def mean_money(amount: Column) -> Column:
 def half_even_cents(amount: Column) -> Column:
     """``amount`` rounded to cents, ties to the even cent.
 
-    Goes through whole millionths so that binary noise cannot decide a tie.
+    Goes through whole millionths so that binary noise cannot decide a tie;
+    ``rint`` rounds ties to even and stays on primitive doubles.
     """
-    micro = F.round(amount * 1e6).cast("bigint")
-    whole = F.floor(micro / 10_000).cast("bigint")
-    rest = micro - whole * 10_000
-    up = (rest > 5_000) | ((rest == 5_000) & (whole % 2 != 0))
-    return (whole + up.cast("int")) / 100.0
+    return F.rint(F.rint(amount * 1e6) / 1e4) / 100.0
 
 
 def value_cell(value: Column) -> Column:

@@ -18,9 +18,11 @@ ISO_GROUP = {
 
 
 def lookup(key: Column, table: dict) -> Column:
-    """A literal map lookup; null for a key that is absent."""
-    entries = [F.lit(x) for pair in table.items() for x in pair]
-    return F.try_element_at(F.create_map(*entries), key)
+    """A small literal lookup; null for a key that is absent."""
+    value = None
+    for name, found in table.items():
+        value = (F.when if value is None else value.when)(key == name, found)
+    return value
 
 
 def _iso_char(code: Column, position: int) -> Column:
@@ -90,7 +92,8 @@ def storage_charge(
 
     Billable days fill the tiers in order of their first day. Only the widths
     matter, so the days in a tier are what is left beyond the summed widths of
-    the tiers before it, which is known when the plan is built.
+    the tiers before it, which is known when the plan is built. The surcharge
+    term is null for an unknown dwell and makes the whole charge null.
     """
     billable = F.greatest(F.lit(0.0), days - free_days(movement, tariff))
     base, offset = F.lit(0.0), 0
@@ -104,7 +107,7 @@ def storage_charge(
         .when(container_type == "hazardous", F.lit(float(tariff.hazardous_surcharge_per_day)))
         .otherwise(F.lit(0.0))
     )
-    return F.when(days.isNotNull(), base + per_day * days * teu_)
+    return base + per_day * days * teu_
 
 
 def storage_cost(

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quayside.functions import bands
-from quayside.functions.exact import mean_days, mean_money, quantiles_wide, sum_money
+from quayside.functions.exact import cents, mean_days, mean_money, quantiles_wide, sum_money
 from quayside.functions.visit import dwell_micros
 from quayside.operators.quality import adjusted_skewness
 from quayside.session import cut_lineage
@@ -577,7 +577,7 @@ def revenue_by_container_segment(features: DataFrame, labels: DataFrame) -> Data
     """
     money = features.groupBy("container_id").agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(
-            F.sum(F.round(F.col("storage_cost_usd") * 100).cast("bigint")), F.lit(0)).alias("cents"))
+            F.sum(cents(F.col("storage_cost_usd"))), F.lit(0)).alias("cents"))
     counts = labels.groupBy("container_id", "cluster").agg(F.count(F.lit(1)).alias("m"))
     return money.join(counts, "container_id").groupBy("cluster").agg(
         F.sum(F.col("n") * F.col("m")).alias("visits"),

@@ -31,18 +31,20 @@ def feature_tables(
 ) -> TerminalTables:
     """Feature tables of validated visits.
 
-    Block-day occupancy feeds many reports and is small next to the visits, so
-    it is written once to the checkpoint folder instead of being recomputed.
+    Many reports read the visit features and the block-days, so both are written
+    once, as columnar files in the shared folder, instead of being recomputed.
     """
     chosen = features.analysis_window(visits, params)
     feats = features.visit_features(chosen, params, tariff)
+    if materialise:
+        feats = cut_lineage(feats)
     block_day = occupancy.block_day_features(
         feats, block_dimension(spark, yard), capacity_from_data=False)
     if materialise:
         block_day = cut_lineage(block_day)
     capacity = yard.total_capacity if yard else 0
     surges = gate.vessel_surges(feats, capacity) if capacity else None
-    return TerminalTables(feats, block_day, gate.gate_hourly(chosen), surges)
+    return TerminalTables(feats, block_day, gate.gate_hourly(feats), surges)
 
 
 def write_features(tables: TerminalTables, path: str) -> None:

@@ -48,10 +48,13 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read on from there.
+    """Write ``df`` to the shared folder and read on from there.
 
-    The checkpoint is a reliable one: its files outlive the executors that
-    wrote them.
+    The files outlive the executors that wrote them. Parquet rather than an RDD
+    checkpoint, so that later reads stay columnar and Spark knows their size
+    when it chooses joins.
     """
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_folder(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ whole tables whose size grows with the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LINE_COLUMNS = [
@@ -16,14 +16,25 @@ LINE_COLUMNS = [
 ]
 
 
-def _seconds(column: F.Column) -> F.Column:
-    return F.make_dt_interval(secs=column.cast("decimal(18,6)"))
+def _after(start: Column, seconds: Column) -> Column:
+    return F.timestamp_add("SECOND", seconds.cast("bigint"), start)
+
+
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a table of fewer files than cores, which one task would read whole.
+
+    Decided on the file list when the plan is built; a table with enough files
+    is read as it lies, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*LINE_COLUMNS)
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         "o_orderkey", "o_orderpriority")
+    lines = _spread(lines, "l_orderkey", "l_linenumber", "l_partkey")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
 
 
@@ -44,15 +55,15 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(text(o), F.lit("-"), text(n), F.lit("-"), text(p), F.lit("-"),
                  text(s), F.lit("-"), text(F.col("l_shipdate").cast("date")),
                  F.lit("-"),
-                 text(F.round(F.col("l_extendedprice") * 100).cast("bigint")),
+                 text(F.rint(F.col("l_extendedprice") * 100).cast("bigint")),
                  ).alias("visit_id"),
         F.concat(F.lit("MSCU"), F.lpad(text(o), 7, "0")).alias("container_id"),
         F.when(slot.isin(0, 1), 20).when(p % 41 == 0, 45).otherwise(40).alias("size_ft"),
         F.when(kind < 6, "dry").when(kind < 8, "reefer")
          .when(kind == 8, "hazardous").otherwise("empty").alias("container_type"),
         (1.0 + F.col("l_quantity") * 0.6).alias("weight_tons"),
-        (F.col("l_shipdate") + _seconds(entry_s)).alias("gate_in_time"),
-        F.when(p % 33 != 0, F.col("l_shipdate") + _seconds(entry_s + dwell_s))
+        _after(F.col("l_shipdate"), entry_s).alias("gate_in_time"),
+        F.when(p % 33 != 0, _after(F.col("l_shipdate"), entry_s + dwell_s))
          .alias("gate_out_time"),
         F.when(flag == "N", "import").when(flag == "A", "export")
          .otherwise("transhipment").alias("movement_type"),
