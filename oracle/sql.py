@@ -372,6 +372,82 @@ hw as (
   level + h * trend + seasonal[(n + h - 1) % 7 + 1]
  from (select *, unnest(generate_series(1, m + 14)) as h from series) s join final using (series_id))"""
 
+def smoothing(source: str, name: str, multiplicative: bool = False) -> str:
+    """Smoothing states of ``source`` (id, n, train, a, b, g) with the squared error so far."""
+    join, split = ("*", "/") if multiplicative else ("+", "-")
+    level = "list_sum(train[1:7]) / 7e0"
+    trend = f"((list_sum(train[8:14]) / 7e0 - {level}) / 7)"
+    start = ", ".join(f"train[{i}] {split} ({level})" for i in range(1, 8))
+    return f""",
+{name} as (
+ select id, 0 as t, {level} as level, {trend} as trend, [{start}] as seasonal,
+  (train[1] - (({level} + {trend}) {join} (train[1] {split} ({level})))) ** 2 as sse
+ from {source}
+ union all
+ select id, t, level, trend,
+  seasonal[1:slot] || [(value {split} level) * g + season * (1 - g)] || seasonal[slot+2:7], sse
+ from (
+  select id, t, slot, season, value, g, new_level as level,
+   (new_level - old_level) * b + old_trend * (1 - b) as trend, seasonal, sse + error * error as sse
+  from (
+   select *, value - ((old_level + old_trend) {join} season) as error,
+    (value {split} season) * a + (old_level + old_trend) * (1 - a) as new_level
+   from (
+    select p.id, p.t + 1 as t, (p.t + 1) % 7 as slot, p.seasonal[(p.t + 1) % 7 + 1] as season,
+     s.train[p.t + 2] as value, p.level as old_level, p.trend as old_trend, p.seasonal, p.sse, s.a, s.b, s.g
+    from {name} p join {source} s on s.id = p.id where p.t + 1 < s.n))))"""
+
+
+def grid(alphas: str, betas: str, gammas: str) -> str:
+    return f""",
+points as (
+ select a, b, g from (select unnest([{alphas}]) as a), (select unnest([{betas}]) as b), (select unnest([{gammas}]) as g)),
+trials as (
+ select row_number() over (order by a, b, g) as id, series_id, start_date, n, m, train, test, a, b, g
+ from series, points)"""
+
+
+def best_trial(name: str, states: str) -> str:
+    return f""",
+{name} as (
+ select tr.*, st.level, st.trend, st.seasonal, st.sse from trials tr
+ join {states} st on st.id = tr.id and st.t = tr.n - 1 order by st.sse, a, b, g limit 1)"""
+
+
+OPTIMISED = series(False) + grid(
+    "0.1e0, 0.2e0, 0.4e0, 0.6e0, 0.8e0, 1.0e0", "0e0, 0.05e0, 0.1e0, 0.2e0", "0e0, 0.05e0, 0.1e0, 0.2e0",
+) + smoothing("trials", "tried") + best_trial("best", "tried") + """,
+optimised as (
+ select b.series_id, 'HoltWinters_Optimised_Additive' as model, start_date, b.n, m, t.t as pos, 'train' as zone,
+  train[t.t+1] as actual, t.level + t.trend + t.seasonal[t.t % 7 + 1] as predicted
+ from best b join tried t on t.id = b.id
+ union all
+ select series_id, 'HoltWinters_Optimised_Additive', start_date, n, m, n + h - 1,
+  case when h <= m then 'test' else 'future' end, case when h <= m then test[h] end,
+  level + h * trend + seasonal[(n + h - 1) % 7 + 1]
+ from (select *, unnest(generate_series(1, m + 14)) as h from best))"""
+
+BY_AIC = series(False) + grid("0.1e0, 0.3e0", "0e0, 0.1e0", "0.1e0, 0.3e0") + smoothing(
+    "trials", "added") + smoothing("trials", "multiplied", multiplicative=True) + best_trial(
+    "best_added", "added") + best_trial("best_multiplied", "multiplied") + """,
+both_forms as (
+ select series_id, 'HoltWinters_Optimised_Additive' as model, n * ln(sse / n) + 24 as aic from best_added
+ union all select series_id, 'HoltWinters_Optimised_Multiplicative', n * ln(sse / n) + 24
+ from best_multiplied where list_min(train) > 0)"""
+
+BACKTEST = daily(False) + """,
+folded as (select series_id, list(value order by date) as y from daily group by series_id),
+origins as (
+ select series_id, y, unnest(generate_series(28, len(y) - 14, 28)) as origin from folded),
+trials as (
+ select origin as id, series_id, cast(origin as int) as origin, cast(origin as int) as n, y[1:origin] as train,
+  y[origin+1:origin+14] as test, 0.2e0 as a, 0.1e0 as b, 0.1e0 as g from origins)""" + smoothing(
+    "trials", "tried") + """,
+ahead as (
+ select tr.series_id, origin, test[h] as actual, level + h * trend + seasonal[(n + h - 1) % 7 + 1] as predicted
+ from (select *, unnest(generate_series(1, 14)) as h from trials) tr
+ join tried st on st.id = tr.id and st.t = tr.n - 1)"""
+
 SMA_PARTS = """,
 points as (select series_id, n, unnest(generate_series(0, n - 1)) as t, unnest(train) as y from series),
 weekday as (select series_id, t % 7 as j, sum(y) / count(*) as mean from points group by all),
@@ -886,4 +962,11 @@ found as (
 select series_id, model, horizon_days, round(peak, 5) as peak_forecast_util, breach_date,
  cast(breach_date - first_date + 1 as int) as days_until_breach, cast(breach_date is not null as int) as is_urgent
 from found""", recursive=True),
+    "optimised_holt_winters": sql(OPTIMISED, curve("optimised"), recursive=True),
+    "seasonal_form_by_aic": sql(BY_AIC, """
+select series_id, model, round(aic, 4) as aic from both_forms order by aic limit 1""", recursive=True),
+    "rolling_backtest": sql(BACKTEST, """
+select series_id, origin, round(avg(abs((actual - predicted) / actual)) filter (where actual <> 0) * 100, 5) as mape,
+ round(sqrt(avg((actual - predicted) ** 2)), 5) as rmse, round(avg(abs(actual - predicted)), 5) as mae
+from ahead group by series_id, origin""", recursive=True),
 }
