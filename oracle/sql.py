@@ -688,7 +688,7 @@ select hour, cast(sum(gate_throughput_hr) as double) / count(*) as mean_moves fr
 select cast(hour(ts) as int) as hour, direction, count(*) as gate_moves from gate_events group by all"""),
     "vessel_surge": sql(FEATS, """
 select cast(gate_in_time as date) as date, vessel_name, sum(teu_equivalent) as teu_equivalent, 1 as vessel_surge_flag
-from feats group by cast(gate_in_time as date), vessel_name having sum(teu_equivalent) >= 8230 * 0.002"""),
+from feats group by cast(gate_in_time as date), vessel_name having sum(teu_equivalent) >= 8230e0 * 0.0005e0"""),
     "vessel_surge_by_block": sql(FEATS + "," + BLOCKS, """
 select cast(gate_in_time as date) as date, vessel_name, yard_block, sum(teu_equivalent) as teu_equivalent,
  any_value(teu_capacity) as teu_capacity, 1 as vessel_surge_flag
@@ -826,10 +826,10 @@ select visit_id, cast(is_reversed as int) as is_reversed, cast(is_future_in as i
 select 'movement_type' as "column", cast(1 as int) as rank, movement_type as value, count(*) as rows
 from faulty where movement_type = 'INVALID_TYPE' group by movement_type"""),
     "numeric_profile": sql(VISITS, " union all ".join(
-        f"select '{c}' as \"column\", count({c}) as \"count\", round(cast(min({c}) as double), 4) as min, "
-        f"round(cast(max({c}) as double), 4) as max, round(avg({c}), 4) as mean, "
-        f"round(cast(median({c}) as double), 4) as median, round(stddev_samp({c}), 4) as std, "
-        f"round(skewness({c}), 4) as skewness from visits" for c in NUMERIC)),
+        f"select '{c}' as \"column\", count({c}) as \"count\", round(cast(min({c}) as double), 6) as min, "
+        f"round(cast(max({c}) as double), 6) as max, round(avg({c}), 6) as mean, "
+        f"round(cast(median({c}) as double), 6) as median, round(stddev_samp({c}), 6) as std, "
+        f"round(skewness({c}), 6) as skewness from visits" for c in NUMERIC)),
     "categorical_profile": sql(VISITS + ",\n" + VALUE_COUNTS, """
 select "column", cast(sum(rows) as bigint) as "count", count(*) as "unique" from value_counts group by "column" """),
     "top_values": sql(VISITS + ",\n" + VALUE_COUNTS, """

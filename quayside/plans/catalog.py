@@ -272,7 +272,7 @@ def gate_by_direction(spark, sf_dir):
 
 @register
 def vessel_surge(spark, sf_dir):
-    return gate.vessel_surges(feats(spark, sf_dir), SAMPLE_YARD.total_capacity, share=0.002)
+    return gate.vessel_surges(feats(spark, sf_dir), SAMPLE_YARD.total_capacity, share=0.0005)
 
 
 @register
@@ -458,7 +458,7 @@ def invalid_values(spark, sf_dir):
 
 @register
 def numeric_profile(spark, sf_dir):
-    return quality.numeric_profile(visits(spark, sf_dir), places=4)
+    return quality.numeric_profile(visits(spark, sf_dir), places=6)
 
 
 @register
