@@ -85,13 +85,23 @@ def excluded_visits(visits: DataFrame, as_of: str | None = None) -> DataFrame:
 def duplicate_counts(visits: DataFrame) -> DataFrame:
     """Surplus exact copies and surplus rows per key (one row).
 
-    Copies are merged map-side before they are shuffled.
+    Exact copies share their key, so whole rows are only compared under keys
+    that occur more than once. Keys are counted, and equal rows merged, on the
+    map side before anything is shuffled.
     """
-    columns = data_columns(visits)
-    variants = visits.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-    keys = variants.groupBy(*KEY).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("variants"))
-    return keys.agg(
-        F.coalesce(F.sum(F.col("n") - F.col("variants")), F.lit(0)).alias("exact_duplicates"),
+    repeated = (visits.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
+                .where(F.col("n") > 1)
+                .select("n", *[F.col(c).alias(f"_{c}") for c in KEY]))
+    same_key = F.lit(True)
+    for c in KEY:
+        same_key = same_key & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    exact = (
+        visits.join(repeated, same_key, "left_semi")
+        .groupBy(*data_columns(visits)).agg(F.count(F.lit(1)).alias("copies"))
+        .agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))).scalar()
+    )
+    return repeated.agg(
+        exact.alias("exact_duplicates"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("key_duplicates"))
 
 

@@ -235,8 +235,17 @@ def silhouette_squared(points: DataFrame, stats: DataFrame, columns: Sequence[st
 
 
 def sample_rows(scaled: DataFrame, size: int = SAMPLE_SIZE) -> DataFrame:
-    """A fixed sample: the rows with the smallest hash of their visit id."""
-    return scaled.orderBy(F.xxhash64("visit_id"), "visit_id").limit(size)
+    """A fixed sample: the rows with the smallest hash of their visit id.
+
+    Every task of a top-k sends k rows to the one that merges them. A threshold
+    on the hash, set from the row count to leave several times ``size`` rows in
+    all, keeps that merge small however many tasks there are.
+    """
+    hashed = scaled.withColumn(
+        "_u", F.pmod(F.xxhash64("visit_id"), F.lit(1 << 53)) / float(1 << 53))
+    rows = scaled.agg(F.count(F.lit(1))).scalar()
+    return (hashed.where(F.col("_u") * rows <= 8.0 * size)
+            .orderBy("_u", "visit_id").limit(size).drop("_u"))
 
 
 def silhouette_sampled(sample: DataFrame, labels: Sequence[str], columns: Sequence[str] = tuple(Z)) -> DataFrame:

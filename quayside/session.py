@@ -33,7 +33,7 @@ def checkpoint_folder(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("spark.checkpoint.dir must name a shared folder")
