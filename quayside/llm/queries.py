@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm import (
-    mixing, near_duplicates, pii, quality_rules, sentencepiece_codec, token_counts, url_filters,
+    fingerprints, mixing, near_duplicates, phrases, pii, quality_rules, sentencepiece_codec,
+    sql, suffix_dedup, token_counts, url_filters,
 )
 from quayside.llm.tables import utf8_sha256
 
@@ -93,3 +94,27 @@ def op10_hierarchical_budgeting(spark, sf_dir):
     return mixed.select("doc_id", F.col("mix_domain").alias("domain"), "lang", "source",
                         F.col("mix_tokens").alias("n_tokens"), F.col("mix_quota").alias("leaf_quota"),
                         F.col("mix_epochs").cast("bigint").alias("epochs"))
+
+
+@register
+def op7_scaled_sketches(spark, sf_dir):
+    return fingerprints.edited_fingerprints(read(spark, sf_dir, "documents"))
+
+
+@register
+def op9_phrase_automata(spark, sf_dir):
+    return phrases.remove_repeated_phrases(read(spark, sf_dir, "documents"))
+
+
+@register
+def op6_column_wise_suffixes(spark, sf_dir):
+    return suffix_dedup.remove_repeated_substrings(read(spark, sf_dir, "documents"))
+
+
+ORACLES.update({
+    "op1_redirect_equivalence": sql.url_verdicts(URL_RULES, url_filters.TRACKING),
+    "op2_line_first_cleaning": sql.quality_measures(quality_rules),
+    "op5_super_minhash": sql.NEAR,
+    "op9_phrase_automata": sql.PHRASES,
+    "op10_hierarchical_budgeting": sql.mixing(**MIX),
+})
