@@ -48,7 +48,7 @@ def connected_components(edges: DataFrame, left: str = "u", right: str = "v") ->
         if tuple(row) == seen or row[0] == 0:
             break
         seen = tuple(row)
-        current = cut_lineage(_small_star(_large_star(current).distinct()).distinct())
+        current = cut_lineage(_small_star(_large_star(current)).distinct())
     hung = current.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     alone = nodes.where("u = v").select(F.col("u").alias("node"), F.col("u").alias("component"))

@@ -15,10 +15,14 @@ fewer words. Two texts are linked when their sets' intersection is at least
 3. *Verification* on the full sets, for every pair that can still matter.
    Texts with equal sets are one class and enter once.
 4. *Grouping* by union-find. Within a bucket a pair whose ends are already
-   connected needs no check. Each round compares all members of a bucket outside
-   its largest group with one member of that group, so a group of n near copies
-   costs about n checks. What is left after the rounds is checked pair by pair
-   (with the sets' sizes as a filter), so that no link is lost.
+   connected needs no check. First all members of a bucket are compared with the
+   smallest one, so a group of n near copies costs about n checks. Buckets that
+   still hold several groups are settled through their members' rarest shingles: in
+   an order that puts shingles known to one group only first, and then the rarer
+   ones, a text that is linked to another group must share one of its first quarter
+   of shingles with it (the prefix filter of set similarity joins, which is exact).
+   Texts with a quarter of their shingles to their own group are thus done with, and
+   few pairs are left to check, whatever many texts have in common.
 
 Shingles are compared by 64-bit hashes within a pair of texts.
 
@@ -45,10 +49,10 @@ from quayside.llm.tables import arrow_schema, cut_lineage, documents
 SHINGLE = 5
 BANDS, ROWS = 32, 4
 PERCENT = 75
-STAR_ROUNDS = 12
 U64 = K.U64
 _SHEETS = "doc_id bigint, n_shingles bigint, class binary, bands array<bigint>"
 _SETS = "doc_id bigint, n bigint, items binary"
+_ITEMS = "doc_id bigint, n bigint, g bigint, s bigint"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,19 +175,54 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         _shared, "a bigint, b bigint, na bigint, nb bigint, both bigint")
 
 
-def _groups(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members of buckets that still hold two or more unconnected groups, with their group."""
-    found = connected_components(links, "a", "b")
-    held = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left") \
-        .select("bucket", "doc_id", "n", F.coalesce("component", "doc_id").alias("g"))
-    split = held.groupBy("bucket").agg(F.min("g").alias("lo"), F.max("g").alias("hi")) \
-        .where("lo <> hi").select("bucket")
-    return cut_lineage(held.join(split, "bucket", "left_semi"))
+def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = arrow_schema(_ITEMS)
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            items = [np.frombuffer(v.as_buffer(), dtype=np.int64) for v in part.column("items")]
+            place = pa.array(np.repeat(np.arange(len(items)), [len(x) for x in items]))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(c).take(place) for c in ("doc_id", "n", "g")]
+                + [pa.array(np.concatenate(items))], schema=schema)
 
 
 def _close(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sizes allow a link."""
-    return pairs.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b")
+    """Distinct pairs whose sizes allow a link."""
+    return pairs.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) \
+        .select("a", "b").distinct()
+
+
+def _between_groups(members: DataFrame, sets: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different groups that may be linked, from buckets with several groups."""
+    found = connected_components(links, "a", "b").withColumnRenamed("node", "doc_id")
+    held = members.join(found, "doc_id", "left").select(
+        "bucket", "doc_id", F.coalesce("component", "doc_id").alias("g"))
+    split = held.groupBy("bucket").agg(F.min("g").alias("lo"), F.max("g").alias("hi")) \
+        .where("lo <> hi").select("bucket")
+    left = held.join(split, "bucket", "left_semi").select("doc_id", "g").distinct()
+    rows = cut_lineage(sets.join(left, "doc_id")).mapInArrow(_item_rows, _ITEMS)
+    common = rows.groupBy("s").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count(F.lit(1)).alias("df")) \
+        .where("lo <> hi").select("s", "df")
+    # Shingles of one group only come first in every text, then the rarer ones.
+    spare = F.floor(F.col("n") * (100 - percent) / 100) + 1 - (F.col("n") - F.size("x"))
+    first = rows.join(common, "s").groupBy("doc_id", "n", "g").agg(
+        F.array_sort(F.collect_list(F.struct("df", "s"))).alias("x")) \
+        .where(spare > 0).select("doc_id", "n", "g", F.explode(F.slice("x", F.lit(1), spare.cast("int"))).alias("x")) \
+        .select("doc_id", "n", "g", F.col("x.s").alias("s"))
+    first = cut_lineage(first)
+    sizes = first.groupBy("s", "g").agg(F.count(F.lit(1)).alias("k"))
+    largest = sizes.groupBy("s").agg(F.max(F.struct("k", "g"))["g"].alias("main"), F.count(F.lit(1)).alias("groups")) \
+        .where("groups > 1").select("s", "main")
+    outside = first.join(largest, "s").where("g <> main").select(
+        "s", F.col("doc_id").alias("x"), F.col("n").alias("nx"), "g")
+    other = first.select("s", F.col("doc_id").alias("y"), F.col("n").alias("ny"), F.col("g").alias("h"))
+    met = outside.join(other, "s").where("g <> h")
+    swap = F.col("x") > F.col("y")
+    return _close(met.select(
+        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
+        F.when(swap, F.col("ny")).otherwise(F.col("nx")).alias("na"),
+        F.when(swap, F.col("nx")).otherwise(F.col("ny")).alias("nb")), percent)
 
 
 def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -192,40 +231,10 @@ def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     centre = members.groupBy("bucket").agg(F.min(F.struct("doc_id", "n")).alias("c"))
     star = _close(members.join(centre, "bucket").where("doc_id <> c.doc_id").select(
         F.col("c.doc_id").alias("a"), F.col("doc_id").alias("b"),
-        F.col("c.n").alias("na"), F.col("n").alias("nb")), percent).distinct()
-    tested = cut_lineage(verified(star, sets))
-    links = tested.where(linked).select("a", "b")
-    for turn in range(STAR_ROUNDS + 1):
-        rest = _groups(members, links)
-        sizes = rest.groupBy("bucket", "g").agg(F.count(F.lit(1)).alias("k"))
-        work = sizes.groupBy("bucket").agg(
-            F.sum("k").alias("rows"), F.sum(F.col("k") * F.col("k")).alias("squares")) \
-            .agg(F.sum("rows"), F.sum((F.col("rows") * F.col("rows") - F.col("squares")) / 2)).first()
-        if not work[0]:
-            break
-        final = turn == STAR_ROUNDS or work[1] <= 8 * work[0]
-        if final:
-            other = rest.select("bucket", F.col("doc_id").alias("b"), F.col("n").alias("nb"),
-                                F.col("g").alias("h"))
-            pairs = rest.select("bucket", F.col("doc_id").alias("a"), F.col("n").alias("na"), "g") \
-                .join(other, "bucket").where("g <> h and a < b")
-        else:
-            main = sizes.groupBy("bucket").agg(
-                F.max_by("g", F.struct("k", -F.col("g"))).alias("main"))
-            placed = rest.join(main, "bucket")
-            centre = placed.where("g = main").groupBy("bucket").agg(
-                F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("r"), "doc_id", "n")).alias("c"))
-            pairs = placed.where("g <> main").join(centre, "bucket").select(
-                F.least("doc_id", "c.doc_id").alias("a"), F.greatest("doc_id", "c.doc_id").alias("b"),
-                F.when(F.col("doc_id") < F.col("c.doc_id"), F.col("n")).otherwise(F.col("c.n")).alias("na"),
-                F.when(F.col("doc_id") < F.col("c.doc_id"), F.col("c.n")).otherwise(F.col("n")).alias("nb"))
-        fresh = _close(pairs, percent).distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        new = cut_lineage(verified(fresh, sets))
-        tested = tested.union(new)
-        links = links.union(new.where(linked).select("a", "b"))
-        if final:
-            break
-    return links
+        F.col("c.n").alias("na"), F.col("n").alias("nb")), percent)
+    links = cut_lineage(verified(star, sets).where(linked).select("a", "b"))
+    more = verified(_between_groups(members, sets, links, percent), sets)
+    return links.union(cut_lineage(more.where(linked).select("a", "b")))
 
 
 def near_duplicates(
@@ -240,7 +249,7 @@ def near_duplicates(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     slots = heads.select("doc_id", "n", F.explode("bands").alias("bucket"))
     shared = slots.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("bucket")
-    members = cut_lineage(slots.join(shared, "bucket").select("bucket", "doc_id", "n").distinct())
+    members = cut_lineage(slots.join(shared, "bucket").select("bucket", "doc_id", "n"))
     wanted = members.select("doc_id").distinct()
     sets = cut_lineage(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_set_rows, _SETS)
                        .dropDuplicates(["doc_id", "items"]))
