@@ -16,11 +16,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from quayside.llm import mixing, near_duplicates, pii, quality_rules, sentencepiece_codec  # noqa: E402
 from quayside.llm.queries import MIX_WEIGHTS, domain_of, tokenizer_file  # noqa: E402
-from quayside.llm.tables import cut_lineage, utf8_sha256  # noqa: E402
+from quayside.llm.tables import cut_lineage, ship_package, utf8_sha256  # noqa: E402
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules, without the lines that fail."""
+    ship_package(spark)
     return quality_rules.clean_documents(docs)
 
 

@@ -11,7 +11,7 @@ from quayside.llm import (
     fingerprints, mixing, near_duplicates, phrases, pii, quality_rules, sentencepiece_codec,
     sql, suffix_dedup, token_counts, url_filters,
 )
-from quayside.llm.tables import utf8_sha256
+from quayside.llm.tables import ship_package, utf8_sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +28,7 @@ def register(query):
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

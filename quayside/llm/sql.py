@@ -42,9 +42,9 @@ w as (select rid, unnest(words) as word, unnest(range(len(words))) as i, len(wor
 t as (select rid, i, array_to_string(words[i + 1:i + 3], ' ') as tri from w where i + 3 <= n),
 twice as (select rid, tri from t group by all having count(*) > 1),
 hits as (select rid, count(distinct i + k) as n_repeat_words from t join twice using (rid, tri), range(3) r(k) group by rid),
-l as (select rid, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as at from d),
-full_lines as (select rid, at, line, {WORDS.replace("coalesce(text, '')", "line")} as own,
-  row_number() over (partition by rid, line order by at) as turn from l where regexp_matches(line, '[^\x20\x09-\x0D]')),
+l as (select rid, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as pos from d),
+full_lines as (select rid, pos, line, {WORDS.replace("coalesce(text, '')", "line")} as own,
+  row_number() over (partition by rid, line order by pos) as turn from l where regexp_matches(line, '[^\x20\x09-\x0D]')),
 judged as (select *, ({phrases}
   or 100 * len(list_filter(own, lambda x: x in ('|', '>'))) >= {rules.SEPARATOR_SHARE} * len(own)
   or ({symbols.format('line')} >= 3 and 100 * {symbols.format('line')} > {rules.SYMBOL_SHARE} * len(own))
@@ -71,9 +71,9 @@ s as (select distinct doc_id, case when len(w) < 5 then array_to_string(w, ' ')
     else array_to_string(w[i + 1:i + 5], ' ') end as g
   from d, range(greatest(len(w) - 4, 1)) r(i) where len(w) > 0),
 n as (select doc_id, count(*) as n from s group by doc_id),
-p as (select a.doc_id as a, b.doc_id as b, count(*) as both from s a join s b using (g) where a.doc_id <> b.doc_id group by all),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as shared from s a join s b using (g) where a.doc_id <> b.doc_id group by all),
 links as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b
-  where 100 * both >= 75 * (x.n + y.n - both)),
+  where 100 * shared >= 75 * (x.n + y.n - shared)),
 reach(a, b) as (select doc_id, doc_id from n union select r.a, l.b from reach r join links l on l.a = r.b),
 c as (select a as doc_id, min(b) as component_id from reach group by a)
 select doc_id, coalesce(n, 0) as n_shingles, coalesce(component_id, doc_id) as component_id,

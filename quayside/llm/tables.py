@@ -2,12 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import os
+import tempfile
+import zipfile
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import quayside
 from quayside.session import cut_lineage
 
-__all__ = ["arrow_schema", "cut_lineage", "documents", "utf8_sha256"]
+__all__ = ["arrow_schema", "cut_lineage", "documents", "ship_package", "utf8_sha256"]
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once for each application.
+
+    For jobs that were not submitted with it; Spark serves the archive itself.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(quayside.__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="quayside-code-"), "quayside-code.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("quayside", os.path.relpath(path, root)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
 
 
 def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
