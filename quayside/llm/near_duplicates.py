@@ -21,8 +21,9 @@ fewer words. Two texts are linked when their sets' intersection is at least
    an order that puts shingles known to one group only first, and then the rarer
    ones, a text that is linked to another group must share one of its first quarter
    of shingles with it (the prefix filter of set similarity joins, which is exact).
-   Texts with a quarter of their shingles to their own group are thus done with, and
-   few pairs are left to check, whatever many texts have in common.
+   Texts with a quarter of their shingles to their own group are thus done with. Bit
+   maps of the shingles rule out pairs with too many missing bits while they are
+   joined, so that few pairs are left to check, whatever many texts have in common.
 
 Shingles are compared by 64-bit hashes within a pair of texts.
 
@@ -49,6 +50,7 @@ from quayside.llm.tables import arrow_schema, cut_lineage, documents
 SHINGLE = 5
 BANDS, ROWS = 32, 4
 PERCENT = 75
+MAP_WORDS = 16  # a bit map of 1,024 bits over a text's shingles
 U64 = K.U64
 _SHEETS = "doc_id bigint, n_shingles bigint, class binary, bands array<bigint>"
 _SETS = "doc_id bigint, n bigint, items binary"
@@ -206,23 +208,33 @@ def _between_groups(members: DataFrame, sets: DataFrame, links: DataFrame, perce
         .where("lo <> hi").select("s", "df")
     # Shingles of one group only come first in every text, then the rarer ones.
     spare = F.floor(F.col("n") * (100 - percent) / 100) + 1 - (F.col("n") - F.size("x"))
+    word = F.pmod(F.col("s"), F.lit(MAP_WORDS))
+    maps = [F.bit_or(F.when(word == k, F.expr("shiftleft(1L, cast(pmod(shiftright(s, 8), 64) as int))"))
+                     .otherwise(F.lit(0).cast("bigint"))).alias(f"m{k}") for k in range(MAP_WORDS)]
+    names = [f"m{k}" for k in range(MAP_WORDS)]
     first = rows.join(common, "s").groupBy("doc_id", "n", "g").agg(
-        F.array_sort(F.collect_list(F.struct("df", "s"))).alias("x")) \
-        .where(spare > 0).select("doc_id", "n", "g", F.explode(F.slice("x", F.lit(1), spare.cast("int"))).alias("x")) \
-        .select("doc_id", "n", "g", F.col("x.s").alias("s"))
+        F.array_sort(F.collect_list(F.struct("df", "s"))).alias("x"), *maps) \
+        .where(spare > 0).select("doc_id", "n", "g", (F.col("n") - F.size("x")).alias("own"), *names,
+                                 F.posexplode(F.slice("x", F.lit(1), spare.cast("int"))).alias("at", "x")) \
+        .select("doc_id", "n", "g", "own", (F.col("own") + F.col("at")).alias("at"), *names, F.col("x.s").alias("s"))
     first = cut_lineage(first)
     sizes = first.groupBy("s", "g").agg(F.count(F.lit(1)).alias("k"))
     largest = sizes.groupBy("s").agg(F.max(F.struct("k", "g"))["g"].alias("main"), F.count(F.lit(1)).alias("groups")) \
         .where("groups > 1").select("s", "main")
-    outside = first.join(largest, "s").where("g <> main").select(
-        "s", F.col("doc_id").alias("x"), F.col("n").alias("nx"), "g")
-    other = first.select("s", F.col("doc_id").alias("y"), F.col("n").alias("ny"), F.col("g").alias("h"))
-    met = outside.join(other, "s").where("g <> h")
-    swap = F.col("x") > F.col("y")
-    return _close(met.select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
-        F.when(swap, F.col("ny")).otherwise(F.col("nx")).alias("na"),
-        F.when(swap, F.col("nx")).otherwise(F.col("ny")).alias("nb")), percent)
+    side = lambda x: F.struct("doc_id", "n", "own", "at", *names).alias(x)
+    outside = first.join(largest, "s").where("g <> main").select("s", "g", side("x"))
+    other = first.select("s", F.col("g").alias("h"), side("y"))
+    # Of a linked pair's shingles at most ``slack`` are in one text only. The first shared
+    # one stands no later than that, and the bits of shared ones cannot be missing.
+    need = F.ceil((F.col("x.n") + F.col("y.n")) * percent / (100 + percent))
+    missing = lambda x, y: F.col(f"{x}.own") + sum(
+        F.bit_count(F.col(f"{x}.{m}").bitwiseAND(F.bitwise_not(F.col(f"{y}.{m}")))) for m in names)
+    fits = F.lit(True)
+    for x, y in (("x", "y"), ("y", "x")):
+        fits = fits & (F.col(f"{x}.n") - F.col(f"{x}.at") >= need) & (F.col(f"{x}.n") - missing(x, y) >= need)
+    met = outside.join(other, "s").where((F.col("g") != F.col("h")) & fits)
+    return met.select(F.least("x.doc_id", "y.doc_id").alias("a"),
+                      F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
 
 
 def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
