@@ -282,6 +282,67 @@ stats as (
  select cluster, count(*) as n, sum(z1*z1 + z2*z2 + z3*z3 + z4*z4) as ss,
   sum(z1) as s1, sum(z2) as s2, sum(z3) as s3, sum(z4) as s4 from labelled group by cluster)"""
 
+def fixed_models() -> str:
+    """Labels and distances of the given centres for every model of the selection queries."""
+    models = [("KMeans", 3, "0,1,2"), ("KMeans", 4, "0,1,2,3"), ("KMeans", 5, "0,1,2,3,4"),
+              ("Hierarchical", 4, "1,2,3,4"), ("Hierarchical", 3, "2,3,4")]
+    chosen = " union all ".join(
+        f"select '{a}' as algorithm, {k} as k, unnest([{ids}]) as i, unnest(range({k})) as cluster" for a, k, ids in models)
+    return LABELLED + f""",
+chosen as ({chosen}),
+gaps as (
+ select visit_id, z1, z2, z3, z4, dwell_hours, x_cost, algorithm, k, cluster,
+  sqrt((z1-c1)**2 + (z2-c2)**2 + (z3-c3)**2 + (z4-c4)**2) as gap from scaled, chosen join centres using (i)),
+placed as (
+ select *, row_number() over (partition by visit_id, algorithm, k order by gap, cluster) as rn,
+  lead(gap) over (partition by visit_id, algorithm, k order by gap, cluster) as other from gaps),
+own as (select * from placed where rn = 1),
+sums as (
+ select algorithm, k, cluster, count(*) as n, sum(z1*z1 + z2*z2 + z3*z3 + z4*z4) as ss, sum(z1) as s1, sum(z2) as s2,
+  sum(z3) as s3, sum(z4) as s4, sum(dwell_hours) / count(*) as mean_dwell, sum(x_cost) as cost,
+  sum(case when other > 0 then (other - gap) / greatest(other, gap) else 0 end) as score from own group by all),
+totals as (
+ select algorithm, k, count(*) as c, sum(n) as rows, sum(ss) as ss, sum((s1*s1 + s2*s2 + s3*s3 + s4*s4) / n) as between_ss,
+  (sum(s1)**2 + sum(s2)**2 + sum(s3)**2 + sum(s4)**2) / sum(n) as grand, min(n) as least_n, max(n) as most_n,
+  sum(score) / sum(n) as silhouette, max(cost) / sum(cost) as max_revenue_share from sums group by all),
+scatter as (
+ select algorithm, k, cluster, s1/n as m1, s2/n as m2, s3/n as m3, s4/n as m4,
+  avg(sqrt((z1-s1/n)**2 + (z2-s2/n)**2 + (z3-s3/n)**2 + (z4-s4/n)**2)) as s
+ from own join sums using (algorithm, k, cluster) group by all),
+worst as (
+ select a.algorithm, a.k, a.cluster,
+  max((a.s + b.s) / sqrt((a.m1-b.m1)**2 + (a.m2-b.m2)**2 + (a.m3-b.m3)**2 + (a.m4-b.m4)**2)) as r
+ from scatter a join scatter b on a.algorithm = b.algorithm and a.k = b.k and a.cluster <> b.cluster group by all),
+db as (select algorithm, k, avg(r) as davies_bouldin from worst group by all),
+steps as (
+ select algorithm, k, (mean_dwell - lag(mean_dwell) over (partition by algorithm, k order by mean_dwell)) / mean_dwell as gap
+ from sums),
+contrast as (select algorithm, k, min(gap) as min_dwell_gap from steps group by all),
+metrics as (
+ select algorithm, k, ss - between_ss as inertia,
+  (between_ss - grand) * (rows - c) / ((ss - between_ss) * (c - 1)) as calinski_harabasz,
+  least_n / cast(rows as double) * 100 as min_pct, most_n / cast(rows as double) * 100 as max_pct,
+  davies_bouldin, silhouette, min_dwell_gap, max_revenue_share
+ from totals join db using (algorithm, k) join contrast using (algorithm, k))"""
+
+
+def best_model(case: str, min_pct: float = 3, max_k: int = 8, margin: float | None = None, strict: bool = False) -> str:
+    sized = f"min_pct >= {min_pct} and max_pct <= 55" + (
+        " and coalesce(min_dwell_gap, 1) > 0.10 and coalesce(max_revenue_share, 0) <= 0.60" if strict else "")
+    near = "k * 0" if margin is None else f"case when s >= top - {margin} then 0 else 1 end"
+    fewer = "k * 0" if margin is None else f"case when s >= top - {margin} then k else 999 end"
+    return f"""
+select * from (select '{case}' as "case", algorithm, k, rule, s as silhouette,
+ case when s > 0.70 then 'Strong structure' when s > 0.50 then 'Reasonable structure' when s > 0.25 then 'Weak but usable'
+  else 'No meaningful structure' end as quality,
+ case rule when 2 then 'size checks failed; fewer segments preferred' when 3 then 'forced four segments'
+  when 4 then 'no model passed the size checks' end as warning
+ from (select *, max(s) over (partition by rule) as top from (
+  select *, round(silhouette, 4) as s, case when {sized} then 1 when min_pct >= 2 and max_pct <= 65 and k <= 5 then 2
+   when k = 4 then 3 else 4 end as rule from metrics where k <= {max_k}))
+ order by rule, {near}, {fewer}, s desc, k, case algorithm when 'KMeans' then 0 else 1 end limit 1)"""
+
+
 PROFILES = LABELLED + f""",
 tops as (
  select cluster, col, value, n, row_number() over (partition by cluster, col order by n desc, value) as rn from (
@@ -332,12 +393,12 @@ daily as (
  from block_day group by all)"""
 
 
-def series(by_block: bool, where: str = "true") -> str:
+def series(by_block: bool, cut: str = "") -> str:
     return daily(by_block) + f""",
 folded as (
- select series_id, min(date) as start_date, list(value order by date) as y,
+ select series_id {cut} as series_id, min(date) as start_date, list(value order by date) as y,
   cast(floor(count(*) * 0.8e0) as int) as n
- from daily where {where} group by series_id),
+ from daily group by all),
 series as (
  select series_id, start_date, n, y[1:n] as train, y[n+1:] as test, len(y) - n as m from folded)"""
 
@@ -411,10 +472,11 @@ def best_trial(name: str, states: str) -> str:
     return f""",
 {name} as (
  select tr.*, st.level, st.trend, st.seasonal, st.sse from trials tr
- join {states} st on st.id = tr.id and st.t = tr.n - 1 order by st.sse, a, b, g limit 1)"""
+ join {states} st on st.id = tr.id and st.t = tr.n - 1
+ qualify row_number() over (partition by series_id order by st.sse, a, b, g) = 1)"""
 
 
-OPTIMISED = series(False) + grid(
+OPTIMISED = series(True) + grid(
     "0.1e0, 0.2e0, 0.4e0, 0.6e0, 0.8e0, 1.0e0", "0e0, 0.05e0, 0.1e0, 0.2e0", "0e0, 0.05e0, 0.1e0, 0.2e0",
 ) + smoothing("trials", "tried") + best_trial("best", "tried") + """,
 optimised as (
@@ -427,7 +489,9 @@ optimised as (
   level + h * trend + seasonal[(n + h - 1) % 7 + 1]
  from (select *, unnest(generate_series(1, m + 14)) as h from best))"""
 
-BY_AIC = series(False) + grid("0.1e0, 0.3e0", "0e0, 0.1e0", "0.1e0, 0.3e0") + smoothing(
+GRID_VALUES = ("0.1e0, 0.2e0, 0.4e0, 0.6e0, 0.8e0, 1.0e0", "0e0, 0.05e0, 0.1e0, 0.2e0", "0e0, 0.05e0, 0.1e0, 0.2e0")
+
+BY_AIC = series(True) + grid(*GRID_VALUES) + smoothing(
     "trials", "added") + smoothing("trials", "multiplied", multiplicative=True) + best_trial(
     "best_added", "added") + best_trial("best_multiplied", "multiplied") + """,
 both_forms as (
@@ -435,12 +499,12 @@ both_forms as (
  union all select series_id, 'HoltWinters_Optimised_Multiplicative', n * ln(sse / n) + 24
  from best_multiplied where list_min(train) > 0)"""
 
-BACKTEST = daily(False) + """,
+BACKTEST = daily(True) + """,
 folded as (select series_id, list(value order by date) as y from daily group by series_id),
 origins as (
- select series_id, y, unnest(generate_series(28, len(y) - 14, 28)) as origin from folded),
+ select series_id, y, unnest(generate_series(28, len(y) - 14, 7)) as origin from folded),
 trials as (
- select origin as id, series_id, cast(origin as int) as origin, cast(origin as int) as n, y[1:origin] as train,
+ select row_number() over () as id, series_id, cast(origin as int) as origin, cast(origin as int) as n, y[1:origin] as train,
   y[origin+1:origin+14] as test, 0.2e0 as a, 0.1e0 as b, 0.1e0 as g from origins)""" + smoothing(
     "trials", "tried") + """,
 ahead as (
@@ -546,6 +610,7 @@ from dense left join binned using (key, bin)"""
 PRIORITY = """select visit_id, container_id, dwell_days, yard_block, movement_type, container_type, size_ft,
  shipping_line, vessel_name, storage_cost_usd"""
 
+# --- fixed values: advice sentences of the segments, as in the bands ---------------
 ADVICE = """case base_label
  when 'Fast Movers' then 'Optimize gate scheduling to reduce wait times. Pre-position near berth for transhipment efficiency.'
  when 'Efficient Operators' then 'Maintain current processes. Consider loyalty incentives for shipping lines with consistently low dwell.'
@@ -556,6 +621,7 @@ ADVICE = """case base_label
 
 FORTY_NOTE = " Note: these are predominantly 40ft (2-TEU) containers — each one blocks double the yard capacity of a 20ft unit."
 
+# ------------------------------------------------------------------------------------
 CATEGORICAL = ["container_type", "movement_type", "yard_block", "shipping_line",
                "gate_in_mode", "gate_out_mode", "iso_type_code"]
 VALUE_COUNTS = "value_counts as (\n " + "\n union all ".join(
@@ -651,12 +717,12 @@ from block_day group by all"""),
     "weekly_matrix": sql(FEATS + "," + BLOCK_DAY + """,
 weekly as (
  select yard_block, cast(date_trunc('week', date) as date) as week, avg(block_utilization_pct) as mean_util
- from block_day group by all)""", """
-select yard_block, round(avg(mean_util), 6) as overall_util,
- round(max(mean_util) filter (where week = date '1998-01-05'), 6) as week_1998_01_05,
- round(max(mean_util) filter (where week = date '1998-01-12'), 6) as week_1998_01_12,
- round(max(mean_util) filter (where week = date '1998-01-19'), 6) as week_1998_01_19
-from weekly group by yard_block"""),
+ from block_day group by all),
+grid_ as (
+ select yard_block, cast(unnest(generate_series((select min(week) from weekly), (select max(week) from weekly),
+  interval 7 day)) as date) as week, avg(mean_util) as overall_util from weekly group by yard_block)""", """
+select yard_block, week, round(mean_util, 6) as mean_util, round(overall_util, 6) as overall_util
+from grid_ left join weekly using (yard_block, week)"""),
     "congestion_runs": sql(FEATS + "," + BLOCK_DAY + """,
 marked as (
  select *, date - cast(row_number() over (partition by yard_block order by date) as int) as run
@@ -699,8 +765,7 @@ select cast(ts as date) as date, cast(hour(ts) as int) as hour, event_type, coun
 from events group by all""",
     "events_hourly_stream": """
 select cast(h as date) as date, cast(hour(h) as int) as hour, n as gate_throughput_hr
-from (select date_trunc('hour', ts) as h, count(*) as n from events group by date_trunc('hour', ts))
-where h + interval 1 hour <= (select max(ts) - interval 2 hour from events)""",
+from (select date_trunc('hour', ts) as h, count(*) as n from events group by date_trunc('hour', ts))""",
 
     "executive_kpis": sql(FEATS + "," + BLOCK_DAY, f"""
 select count(*) as total_containers, {MEAN_DAYS} as avg_dwell_days,
@@ -730,8 +795,9 @@ minutes as (
  select dwell_s // 60 as minute, count(*) as n from feats where dwell_hours is not null group by all),
 running as (select minute, sum(n) over (order by minute) as departed, sum(n) over () as total from minutes)""", """
 select minute / 1440e0 as dwell_days, cast(departed as bigint) as departed,
- departed / cast(total as double) * 100 as departed_pct from running
-where minute / 1440e0 <= (select least(60e0, quantile_cont(dwell_days, 0.99)) from feats)"""),
+ departed / cast(total as double) * 100 as departed_pct,
+ cast(minute / 1440e0 <= (select least(60e0, quantile_cont(dwell_days, 0.99)) from feats) as int) as in_view
+from running"""),
     "departure_marks": sql(FEATS, """
 select cast(q * 100 as int) as pct, round(d, 6) as dwell_days from (
  select unnest([0.5, 0.75, 0.9, 0.95]) as q, unnest(quantile_cont(dwell_days, [0.5, 0.75, 0.9, 0.95])) as d from feats)"""),
@@ -934,11 +1000,28 @@ select l.cluster, count(*) as visits, cast(coalesce(sum(f.cents), 0) as double)
 from feats f join labelled l using (container_id) group by l.cluster"""),
     "segment_opportunity": opportunity(LABELLED, "labelled", "cluster"),
 
+    "clustering_sweep": sql(FEATS, """
+select algorithm, cast(k as int) as k, (select count(dwell_hours) from feats) as rows, k as segments,
+ 1 as nearest, 1 as settled, 1 as falls from (select unnest(['KMeans', 'Hierarchical']) as algorithm), range(2, 11) r(k)"""),
+    "model_metrics": sql(fixed_models(), "select algorithm, k, 'simplified_euclidean' as silhouette_metric, " + ", ".join(
+        f"round({c}, 5) as {c}" for c in (
+            "inertia", "calinski_harabasz", "min_pct", "max_pct", "davies_bouldin", "silhouette", "min_dwell_gap",
+            "max_revenue_share")) + " from metrics"),
+    "elbow_curve": sql(fixed_models(), """
+select algorithm, k, round(inertia, 5) as inertia, round(silhouette, 5) as silhouette from metrics"""),
+    "best_clustering": sql(fixed_models(), " union all ".join([
+        best_model("default"), best_model("tie_margin", margin=0.5), best_model("strict", strict=True),
+        best_model("few_segments", min_pct=99), best_model("small", max_k=3)])),
+    "recommendations_by_cost": sql(NAMED + """,
+cost as (""" + opportunity(LABELLED, "labelled", "cluster") + ")", """
+select cluster, label, round(opportunity_cost, 4) as opportunity_cost from named join cost using (cluster)"""),
+
     "daily_terminal_load": sql(daily(False), "select series_id, date, value from daily"),
     "temporal_split": sql(series(True), """
 select series_id, start_date, n as train_days, cast(m as int) as test_days from series"""),
     "holt_winters": sql(series(True) + HW_STEPS, curve("hw"), recursive=True),
-    "simple_smoothing": sql(series(True, "date < (select min(date) from daily) + 15") + SES_STEPS, """
+    "simple_smoothing": sql(series(
+        True, cut="|| '/' || cast((date - (select min(date) from daily)) // 13 as varchar)") + SES_STEPS, """
 select series_id, model, start_date + cast(pos as int) as date, zone, actual, round(predicted, 12) as predicted
 from ses""", recursive=True),
     "seasonal_moving_average": sql(series(True) + SMA_PARTS, curve("sma")),
@@ -952,6 +1035,10 @@ select series_id, model, round(mape, 2) as mape, round(rmse, 2) as rmse, round(m
  case when round(mape, 2) < 10 then 'Excellent' when round(mape, 2) < 20 then 'Good'
   when round(mape, 2) < 30 then 'Acceptable' else 'Limited' end as quality,
  cast(round(mape, 2) > 30 as int) as is_unreliable from chosen where rn = 1""", recursive=True),
+    "in_sample_accuracy": sql(series(True) + HW_STEPS, """
+select series_id, model, round(avg(abs((actual - predicted) / actual)) filter (where actual <> 0) * 100, 5) as mape,
+ round(sqrt(avg((actual - predicted) ** 2)), 5) as rmse, round(avg(abs(actual - predicted)), 5) as mae
+from hw where zone = 'train' group by all""", recursive=True),
     "utilization_breach": sql(series(False) + HW_STEPS + """,
 ahead as (
  select series_id, model, start_date + cast(pos as int) as date, predicted / 8230e0 * 100 as util
@@ -964,7 +1051,8 @@ select series_id, model, horizon_days, round(peak, 5) as peak_forecast_util, bre
 from found""", recursive=True),
     "optimised_holt_winters": sql(OPTIMISED, curve("optimised"), recursive=True),
     "seasonal_form_by_aic": sql(BY_AIC, """
-select series_id, model, round(aic, 4) as aic from both_forms order by aic limit 1""", recursive=True),
+select series_id, model, round(aic, 4) as aic from both_forms
+qualify row_number() over (partition by series_id order by aic, model) = 1""", recursive=True),
     "rolling_backtest": sql(BACKTEST, """
 select series_id, origin, round(avg(abs((actual - predicted) / actual)) filter (where actual <> 0) * 100, 5) as mape,
  round(sqrt(avg((actual - predicted) ** 2)), 5) as rmse, round(avg(abs(actual - predicted)), 5) as mae

@@ -22,6 +22,7 @@ RECOMMENDATIONS = {
     "Overstayers": "Escalate demurrage notices. Relocate to overflow areas to free prime yard space. Engage shipping lines directly for container clearance.",
     "Chronic Blockers": "Initiate formal clearance procedures. Assess legal options for abandoned cargo. Relocate to peripheral blocks immediately to free operational capacity.",
 }
+OTHER_ADVICE = "Review segment characteristics and develop targeted strategy."
 FORTY_FOOT_NOTE = " Note: these are predominantly 40ft (2-TEU) containers — each one blocks double the yard capacity of a 20ft unit."
 PORT_BENCHMARKS = [  # (port, mean import dwell in days, median or none)
     ("LA/Long Beach (truck)", 2.73, None),
@@ -40,6 +41,14 @@ RESHUFFLE_BANDS = [  # (stack height below, low and high reshuffle probability)
     (float("inf"), 0.40, 0.55),
 ]
 RESHUFFLE_COST_USD = (5.0, 15.0)
+SILHOUETTE_NAMES = [  # (above, name)
+    (0.70, "Strong structure"), (0.50, "Reasonable structure"), (0.25, "Weak but usable"),
+    (None, "No meaningful structure"),
+]
+MAPE_NAMES = [(10, "Excellent"), (20, "Good"), (30, "Acceptable"), (None, "Limited")]  # (below, name)
+UTILIZATION_NAMES = [  # (below, name); 85 itself is still congested
+    (40, "Under-utilized"), (65, "Healthy"), (75, "High"), (85, "Congested"), (None, "Critical"),
+]
 # -----------------------------------------------------------------------------
 
 
@@ -61,25 +70,31 @@ def recommendation(label: Column) -> Column:
     text = None
     for name, advice in RECOMMENDATIONS.items():
         text = (F.when if text is None else text.when)(label.contains(name), advice)
-    return text.otherwise("Review segment characteristics and develop targeted strategy.")
+    return text.otherwise(OTHER_ADVICE)
 
 
 def silhouette_quality(score: Column) -> Column:
-    return (F.when(score > 0.70, "Strong structure")
-            .when(score > 0.50, "Reasonable structure")
-            .when(score > 0.25, "Weak but usable")
-            .otherwise("No meaningful structure"))
+    *steps, (_, rest) = SILHOUETTE_NAMES
+    name = F.when(score > steps[0][0], steps[0][1])
+    for edge, value in steps[1:]:
+        name = name.when(score > edge, value)
+    return name.otherwise(rest)
 
 
 def mape_quality(mape: Column) -> Column:
-    return (F.when(mape < 10, "Excellent").when(mape < 20, "Good")
-            .when(mape < 30, "Acceptable").otherwise("Limited"))
+    *steps, (_, rest) = MAPE_NAMES
+    name = F.when(mape < steps[0][0], steps[0][1])
+    for edge, value in steps[1:]:
+        name = name.when(mape < edge, value)
+    return name.otherwise(rest)
 
 
 def utilization_band(pct: Column) -> Column:
-    return (F.when(pct < 40, "Under-utilized").when(pct < 65, "Healthy")
-            .when(pct < 75, "High").when(pct <= 85, "Congested")
-            .when(pct > 85, "Critical"))
+    *steps, (last, congested), (_, critical) = UTILIZATION_NAMES
+    name = F.when(pct < steps[0][0], steps[0][1])
+    for edge, value in steps[1:]:
+        name = name.when(pct < edge, value)
+    return name.when(pct <= last, congested).when(pct > last, critical)
 
 
 def reshuffle_probability(stack_height: Column, bound: int) -> Column:

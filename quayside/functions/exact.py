@@ -14,6 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quayside.session import cut_lineage
+
+SUBCELLS = 4096
 SECONDS_PER_DAY = 86400.0
 
 
@@ -73,20 +76,24 @@ def quantiles(
 
     ``percentile`` keeps every distinct value of a group in one task's memory.
     Here equal values are counted first (combined map-side, so a hot value or a
-    hot group costs nothing), the counts are ranked over coarse cells, and only
-    the cells that hold a wanted rank are sorted by value.
+    hot group costs nothing) and the counts are written once, so the input is read
+    once. They are ranked over coarse cells; a cell that holds a wanted rank is cut
+    into ``SUBCELLS`` equal parts of its own range, and only the parts that hold a
+    rank are sorted by value. Without keys the cells, up to two million, are ranked
+    in one task.
     """
     keys = list(keys)
-    counts = (
+    counts = cut_lineage(
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_cell", value_cell(F.col("_v")))
-    )
+        .withColumn("_cell", value_cell(F.col("_v"))))
     group = [F.col(k) for k in keys] or [F.lit(0)]
     by_cell = Window.partitionBy(*group).orderBy("_cell")
     cells = (
-        counts.groupBy(*keys, "_cell").agg(F.sum("_n").alias("_m"))
+        counts.groupBy(*keys, "_cell").agg(
+            F.sum("_n").alias("_m"), F.min("_v").cast("double").alias("_least"),
+            F.max("_v").cast("double").alias("_most"))
         .withColumn("_before", F.sum("_m").over(by_cell) - F.col("_m"))
         .withColumn("_total", F.sum("_m").over(Window.partitionBy(*group)))
     )
@@ -97,17 +104,31 @@ def quantiles(
         .withColumn("_pos", F.col("prob") * (F.col("_total") - 1))
         .withColumn("_lo", F.floor("_pos")).withColumn("_hi", F.ceil("_pos"))
         .where(holds(F.col("_lo")) | holds(F.col("_hi")))
-        .select(*[F.col(k).alias(f"_k_{k}") for k in keys],
-                F.col("_cell").alias("_k_cell"),
-                "prob", "_pos", "_lo", "_hi", F.col("_before").alias("_base"))
+        .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_cell").alias("_k_cell"),
+                "prob", "_pos", "_lo", "_hi", F.col("_before").alias("_base"), "_least", "_most")
     )
     match = F.col("_cell") == F.col("_k_cell")
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    inside = Window.partitionBy(*group, "prob", "_cell").orderBy("_v")
+    share = F.try_divide(F.col("_v") - F.col("_least"), F.col("_most") - F.col("_least"))
+    part = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * SUBCELLS), F.lit(SUBCELLS - 1)).cast("int")
+    inner = counts.join(wanted, match).withColumn("_part", part)
+    spot = [*keys, "prob", "_cell"]
+    rank = ["_pos", "_lo", "_hi"]
+    by_part = Window.partitionBy(*spot).orderBy("_part")
+    parts = (
+        inner.groupBy(*spot, "_part", *rank, "_base").agg(F.sum("_n").alias("_m"))
+        .withColumn("_before", F.col("_base") + F.sum("_m").over(by_part) - F.col("_m"))
+        .where(holds(F.col("_lo")) | holds(F.col("_hi")))
+        .select(*[F.col(c).alias(f"_q_{c}") for c in (*spot, "_part")], F.col("_before").alias("_from"))
+    )
+    same = F.lit(True)
+    for c in (*spot, "_part"):
+        same = same & F.col(c).eqNullSafe(F.col(f"_q_{c}"))
+    inside = Window.partitionBy(*spot, "_part").orderBy("_v")
     ranked = (
-        counts.join(wanted, match)
-        .withColumn("_before", F.col("_base") + F.sum("_n").over(inside) - F.col("_n"))
+        inner.join(parts, same)
+        .withColumn("_before", F.col("_from") + F.sum("_n").over(inside) - F.col("_n"))
         .withColumn("_m", F.col("_n"))
     )
     picked = ranked.groupBy(*keys, "prob").agg(

@@ -127,7 +127,7 @@ def category_breakdown(features: DataFrame) -> DataFrame:
 
 
 def departure_curve(features: DataFrame) -> DataFrame:
-    """Share of containers gone after each minute of dwell.
+    """Share of containers gone after each minute of dwell, and whether a chart shows it.
 
     Visits are counted per minute first. The running total is taken within each
     day and shifted by the total of the days before, so that no task sees more
@@ -155,7 +155,7 @@ def departure_curve(features: DataFrame) -> DataFrame:
                 (F.col("before") + F.col("so_far")).alias("departed"),
                 ((F.col("before") + F.col("so_far")) / F.col("total") * 100)
                 .alias("departed_pct"))
-        .where(F.col("dwell_days") <= limit)
+        .withColumn("in_view", (F.col("dwell_days") <= limit).cast("int"))
     )
 
 

@@ -47,13 +47,12 @@ def visit_features(
     """All per-visit features. Absent optional inputs give null or neutral values."""
     present = set(visits.columns)
     threshold = params.overstay_threshold_days
-    type_or_unknown = F.coalesce(F.col("container_type"), F.lit("unknown")) \
-        if "container_type" not in present else F.col("container_type")
+    container_type = F.col("container_type") if "container_type" in present else F.lit("unknown")
     if "iso_type_code" in present:
         code = F.col("iso_type_code")
-        high_cube, group = V.is_high_cube(code), V.iso_group(code, type_or_unknown)
+        high_cube, group = V.is_high_cube(code), V.iso_group(code, container_type)
     else:
-        high_cube, group = F.lit(False), type_or_unknown
+        high_cube, group = F.lit(False), container_type
     if {"gate_in_mode", "gate_out_mode"} <= present:
         path = V.flow_path(F.col("gate_in_mode"), F.col("gate_out_mode"))
     else:
@@ -72,7 +71,7 @@ def visit_features(
             "dwell_category": V.dwell_category(hours, days, threshold),
             "is_overstay": V.is_overstay(days, threshold),
             "storage_cost_usd": V.storage_cost(
-                days, F.col("movement_type"), F.col("container_type"),
+                days, F.col("movement_type"), container_type,
                 F.col("teu_equivalent"), tariff),
         })
         .select(*visits.columns, *FEATURE_COLUMNS)

@@ -86,14 +86,24 @@ def _season_start(y: Column, multiplicative: bool) -> Column:
     return F.struct(
         level.alias("level"), ((_mean(second) - level) / SEASON).alias("trend"),
         seasonal.alias("seasonal"),
-        F.array().cast("array<double>").alias("fitted"), F.lit(0.0).alias("sse"))
+        F.array().cast("array<array<double>>").alias("fitted"), F.lit(0.0).alias("sse"))
 
 
-def _smooth(
-    y: Column, alpha: Column | float, beta: Column | float, gamma: Column | float,
-    multiplicative: bool = False, keep_fitted: bool = True,
-) -> Column:
-    """Level, trend, season, fitted values and one-step squared error after ``y``.
+CHUNK = 64
+
+
+def _appended(chunks: Column, value: Column, t: Column) -> Column:
+    """Adds a value to a list of chunks, so that a day copies one chunk and the list of them."""
+    last = F.element_at(chunks, -1)
+    return F.when(F.pmod(t, F.lit(CHUNK)) == 0, F.concat(chunks, F.array(F.array(value)))).otherwise(
+        F.concat(F.slice(chunks, F.lit(1), F.size(chunks) - 1), F.array(F.concat(last, F.array(value)))))
+
+
+def _step(
+    alpha: Column | float, beta: Column | float, gamma: Column | float,
+    multiplicative: bool, keep_fitted: bool,
+) -> Callable[[Column, Column], Column]:
+    """One day of smoothing: the state after a point (value, t).
 
     The first value yields a fitted value but no update.
     """
@@ -117,19 +127,28 @@ def _smooth(
                 new_level.alias("level"), trend.alias("trend"),
                 F.transform(state["seasonal"], lambda s, i: F.when(i == slot, new_season)
                             .otherwise(s)).alias("seasonal"),
-                (F.concat(state["fitted"], F.array(fitted)) if keep_fitted
+                (_appended(state["fitted"], fitted, t) if keep_fitted
                  else state["fitted"]).alias("fitted"),
                 (state["sse"] + error * error).alias("sse"))
 
         first = F.struct(
             state["level"].alias("level"), state["trend"].alias("trend"),
             state["seasonal"].alias("seasonal"),
-            (F.array(expected) if keep_fitted else state["fitted"]).alias("fitted"),
+            (F.array(F.array(expected)) if keep_fitted else state["fitted"]).alias("fitted"),
             (state["sse"] + error * error).alias("sse"))
         return F.when(t == 0, first).otherwise(_let(level, with_level))
 
+    return step
+
+
+def _smooth(
+    y: Column, alpha: Column | float, beta: Column | float, gamma: Column | float,
+    multiplicative: bool = False, keep_fitted: bool = True,
+) -> Column:
+    """Level, trend, season, fitted values (in chunks) and one-step squared error after ``y``."""
     points = F.transform(y, lambda v, i: F.struct(v.alias("value"), i.alias("t")))
-    return F.aggregate(points, _season_start(y, multiplicative), step)
+    return F.aggregate(points, _season_start(y, multiplicative),
+                       _step(alpha, beta, gamma, multiplicative, keep_fitted))
 
 
 def _project(state: Column, n: Column, steps: Column, multiplicative: bool = False) -> Column:
@@ -176,7 +195,7 @@ def holt_winters(series: DataFrame, horizon: int = 14) -> DataFrame:
     )
     return _with_model(
         states, F.when(short, "SimpleExponentialSmoothing").otherwise("HoltWinters_Additive"),
-        F.coalesce("simple", F.col("state.fitted")),
+        F.coalesce("simple", F.flatten(F.col("state.fitted"))),
         F.when(short, flat).otherwise(_project(F.col("state"), n, _steps(horizon))),
         F.when(short, F.create_map(F.lit("alpha"), F.lit(SIMPLE_ALPHA))).otherwise(fixed),
     ).drop("simple")
@@ -221,12 +240,9 @@ def _grid_fit(series: DataFrame, grid: Sequence[tuple], multiplicative: bool) ->
     points = F.explode(F.array(*[
         F.struct(F.lit(float(a)).alias("alpha"), F.lit(float(b)).alias("beta"),
                  F.lit(float(g)).alias("gamma")) for a, b, g in grid]))
-    usable = series.where(F.size("train") >= 2 * SEASON)
-    if multiplicative:
-        usable = usable.where(F.array_min("train") > 0)
     # One row per (series, grid point): spread the points, keep only the error.
     scored = (
-        usable.select("series_id", "train", points.alias("p"))
+        series.select("series_id", "train", points.alias("p"))
         .repartition("series_id", "p")
         .select("series_id", "p", _smooth(
             y, F.col("p.alpha"), F.col("p.beta"), F.col("p.gamma"),
@@ -234,31 +250,45 @@ def _grid_fit(series: DataFrame, grid: Sequence[tuple], multiplicative: bool) ->
     )
     best = scored.groupBy("series_id").agg(
         F.min(F.struct("sse", "p")).alias("best"))
-    return usable.join(best, "series_id")
+    return series.join(best, "series_id")
 
 
 def optimised_holt_winters(
     series: DataFrame, horizon: int = 14, grid: Sequence[tuple] = tuple(DEFAULT_GRID),
-    multiplicative: bool = False,
+    multiplicative: bool = False, fallback: bool = True,
 ) -> DataFrame:
-    """Exponential smoothing with weights searched on a grid, per series."""
-    best = _grid_fit(series, grid, multiplicative)
+    """Exponential smoothing with weights searched on a grid, per series.
+
+    A series that cannot be fitted (shorter than two seasons, or not positive where
+    the season multiplies) falls back to the seasonal moving average.
+    """
+    fits = F.size("train") >= 2 * SEASON
+    if multiplicative:
+        fits = fits & (F.array_min("train") > 0)
+    best = _grid_fit(series.where(fits), grid, multiplicative)
     p, n = F.col("best.p"), F.size("train")
     states = best.withColumn("state", _smooth(
         F.col("train"), p["alpha"], p["beta"], p["gamma"], multiplicative))
     name = "Multiplicative" if multiplicative else "Additive"
-    return _with_model(
-        states, F.lit(f"HoltWinters_Optimised_{name}"), F.col("state.fitted"),
+    fitted = _with_model(
+        states, F.lit(f"HoltWinters_Optimised_{name}"), F.flatten(F.col("state.fitted")),
         _project(F.col("state"), n, _steps(horizon), multiplicative),
         F.create_map(F.lit("alpha"), p["alpha"], F.lit("beta"), p["beta"],
                      F.lit("gamma"), p["gamma"], F.lit("sse"), F.col("best.sse")))
+    if not fallback:
+        return fitted
+    return fitted.unionByName(seasonal_moving_average(
+        series.where(~F.coalesce(fits, F.lit(False))), horizon))
 
 
 def season_form_by_aic(series: DataFrame, horizon: int = 14,
                        grid: Sequence[tuple] = tuple(DEFAULT_GRID)) -> DataFrame:
-    """Additive or multiplicative season, whichever has the lower AIC."""
+    """Additive or multiplicative season, whichever has the lower AIC.
+
+    A series too short for either keeps its moving average, without an AIC.
+    """
     both = optimised_holt_winters(series, horizon, grid).unionByName(
-        optimised_holt_winters(series, horizon, grid, multiplicative=True))
+        optimised_holt_winters(series, horizon, grid, multiplicative=True, fallback=False))
     n = F.size("train")
     free = 3 + 2 + SEASON
     scored = both.withColumn("aic", n * F.log(F.col("params")["sse"] / n) + 2 * free)
@@ -349,19 +379,30 @@ def breach(models: DataFrame, capacity: float, warning_pct: float = 80) -> DataF
 def rolling_backtest(
     daily: DataFrame, horizon: int = 14, first: int = 28, every: int = 7,
 ) -> DataFrame:
-    """Accuracy of the fixed-weight model from a series of forecast origins."""
-    whole = split_series(daily, 1.0)
-    n = F.size("train")
-    origins = (
-        whole.where(n >= first + horizon)
-        .select("series_id", "start_date", "train", F.explode(
-            F.sequence(F.lit(first), n - horizon, F.lit(every))).alias("origin"))
-        .repartition("series_id", "origin")
-    )
-    cut = origins.select(
-        "series_id", "start_date", "origin",
-        F.slice("train", F.lit(1), F.col("origin")).alias("train"),
-        F.slice("train", F.col("origin") + 1, F.lit(horizon)).alias("test"))
-    scored = holt_winters(cut, 0)
+    """Accuracy of the fixed-weight model from a series of forecast origins.
+
+    Smoothing only looks back, so one fold over a series yields the state at every
+    origin; the days between two origins are one chunk of the fold.
+    """
+    whole = split_series(daily, 1.0).where(F.size("train") >= first + horizon)
+    y, n = F.col("train"), F.size("train")
+    origins = F.sequence(F.lit(first), n - horizon, F.lit(every))
+    start = F.struct(_season_start(y, False).alias("state"), F.array().cast(
+        "array<struct<level:double,trend:double,seasonal:array<double>>>").alias("kept"))
+
+    def leg(acc: Column, origin: Column) -> Column:
+        past = F.when(origin == first, F.lit(0)).otherwise(origin - every)
+        points = F.transform(F.slice(y, past + 1, origin - past),
+                             lambda v, i: F.struct(v.alias("value"), (past + i).cast("int").alias("t")))
+        after = F.aggregate(points, acc["state"], _step(ALPHA, BETA, GAMMA, False, False))
+        return _let(after, lambda s: F.struct(s.alias("state"), F.concat(acc["kept"], F.array(F.struct(
+            s["level"].alias("level"), s["trend"].alias("trend"), s["seasonal"].alias("seasonal")))).alias("kept")))
+
+    states = F.aggregate(origins, start, leg)["kept"]
+    rows = whole.select("series_id", "train", F.inline(F.arrays_zip(
+        origins.alias("origin"), states.alias("state"))))
+    cut = rows.select(
+        "series_id", "origin", F.slice("train", F.col("origin") + 1, F.lit(horizon)).alias("test"),
+        _project(F.col("state"), F.col("origin"), F.lit(horizon)).alias("forecast"))
     errors = _errors(F.col("test"), F.col("forecast"))
-    return scored.select("series_id", "origin", *[e.alias(k) for k, e in errors.items()])
+    return cut.select("series_id", "origin", *[e.alias(k) for k, e in errors.items()])

@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 MEASURES = ["containers", "teu", "overstay_teu", "tier_sum", "tier_count"]
 
 
-def _stays(features: DataFrame) -> DataFrame:
+def _stays(features: DataFrame, without_block: bool = False) -> DataFrame:
     """Day range and weights of each visit.
 
     A visit that leaves before it enters occupies nothing, yet its block stays
@@ -29,10 +29,10 @@ def _stays(features: DataFrame) -> DataFrame:
     teu = F.col("teu_equivalent").cast("double" if fractional else "bigint")
     tier = (F.col("yard_tier").cast("bigint") if "yard_tier" in features.columns
             else F.lit(None).cast("bigint"))
-    return features.where(
-        F.col("gate_in_time").isNotNull() & F.col("yard_block").isNotNull()
-    ).select(
-        "yard_block", "container_type",
+    kind = F.col("container_type") if "container_type" in features.columns else F.lit("unknown")
+    placed = F.lit(True) if without_block else F.col("yard_block").isNotNull()
+    return features.where(F.col("gate_in_time").isNotNull() & placed).select(
+        "yard_block", kind.alias("container_type"),
         first.alias("first_day"),
         F.when(last.isNotNull(), F.greatest(first, last)).alias("last_day"),
         counts.alias("containers"),
@@ -79,26 +79,42 @@ def _dense(sparse: DataFrame, bounds: DataFrame) -> DataFrame:
 
 
 def _by_changes(features: DataFrame) -> DataFrame:
-    """Dense (block, type, day) occupancy from entry and exit changes."""
+    """Dense (block, type, day) occupancy from entry and exit changes, in one scan.
+
+    The calendar comes from the aggregated changes: its ends are the first and the
+    last day with an entry. Visits without a block count for it, and for nothing else.
+    """
     change = F.explode(F.array(
         F.struct(F.col("first_day").alias("date"), F.lit(1).alias("sign")),
         F.struct(F.date_add("last_day", 1).alias("date"), F.lit(-1).alias("sign")),
     ))
     changes = (
-        _stays(features).select("*", change.alias("c"))
+        _stays(features, without_block=True).select("*", change.alias("c"))
         .where(F.col("c.date").isNotNull())
         .groupBy("yard_block", "container_type", F.col("c.date").alias("date"))
-        .agg(*[F.sum(F.col(m) * F.col("c.sign")).alias(m) for m in MEASURES])
+        .agg(*[F.sum(F.col(m) * F.col("c.sign")).alias(m) for m in MEASURES],
+             F.max("c.sign").alias("sign"))
     )
-    bounds = calendar_bounds(features)
+    entry = F.when(F.col("sign") == 1, F.col("date"))
+    groups = changes.groupBy("yard_block", "container_type").agg(
+        F.collect_list(F.struct("date", *MEASURES)).alias("days"),
+        F.min(entry).alias("lo"), F.max(entry).alias("hi"))
+    every = Window.partitionBy(F.lit(0))  # one row per block and type
+    groups = groups.withColumns({"lo": F.min("lo").over(every), "hi": F.max("hi").over(every)}) \
+        .where(F.col("yard_block").isNotNull())
+    types = dict(changes.dtypes)
+    zero = [F.lit(0).cast(types[m]).alias(m) for m in MEASURES]
+    calendar = F.transform(F.sequence("lo", "hi"), lambda day: F.struct(day.alias("date"), *zero))
     running = Window.partitionBy("yard_block", "container_type").orderBy("date")
     # Exits after the last day fall outside the calendar. Nothing lies before
     # it, because the calendar starts with the first entry.
     return (
-        _dense(changes, bounds)
-        .select("yard_block", "container_type", "date",
+        groups.select("yard_block", "container_type", "hi", F.inline(F.concat("days", calendar)))
+        .groupBy("yard_block", "container_type", "date")
+        .agg(*[F.sum(m).alias(m) for m in MEASURES], F.max("hi").alias("hi"))
+        .select("yard_block", "container_type", "date", "hi",
                 *[F.sum(m).over(running).alias(m) for m in MEASURES])
-        .where(F.col("date") <= bounds.select("hi").scalar())
+        .where(F.col("date") <= F.col("hi")).drop("hi")
     )
 
 
@@ -230,12 +246,15 @@ def weekly_utilization(block_day: DataFrame) -> DataFrame:
     )
 
 
-def weekly_matrix(block_day: DataFrame, weeks: list[str]) -> DataFrame:
-    """Block x week matrix for the given weeks, busiest block first."""
-    weekly = weekly_utilization(block_day).withColumn("week", F.col("week").cast("string"))
+def weekly_matrix(block_day: DataFrame) -> DataFrame:
+    """The whole block x week matrix, row by row: every block has every week of the calendar."""
+    weekly = weekly_utilization(block_day)
     mean = weekly.groupBy("yard_block").agg(F.avg("mean_util").alias("overall_util"))
-    return (weekly.groupBy("yard_block").pivot("week", weeks).agg(F.first("mean_util"))
-            .join(mean, "yard_block").orderBy(F.desc("overall_util"), "yard_block"))
+    ends = weekly.agg(F.min("week").alias("lo"), F.max("week").alias("hi"))
+    weeks = F.sequence(ends.select("lo").scalar(), ends.select("hi").scalar(), F.expr("interval 7 days"))
+    return (mean.withColumn("week", F.explode(weeks))
+            .join(weekly, ["yard_block", "week"], "left")
+            .select("yard_block", "week", "mean_util", "overall_util"))
 
 
 def congestion_runs(

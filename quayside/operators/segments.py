@@ -12,8 +12,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
-import numpy as np
-import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import VectorAssembler
@@ -31,8 +29,8 @@ INPUTS = ["dwell_hours", "teu_equivalent", "storage_cost_usd", "weight_tons"]
 LOGGED = ["dwell_hours", "storage_cost_usd"]
 SKEW_LIMIT = 2
 Z = [f"z_{c}" for c in INPUTS]
-SAMPLE_SIZE = 10_000
 MAX_SELECTABLE_K = 8
+SILHOUETTE = "simplified_euclidean"  # what the column `silhouette` holds
 
 
 # --- feature matrix -----------------------------------------------------------
@@ -234,61 +232,28 @@ def silhouette_squared(points: DataFrame, stats: DataFrame, columns: Sequence[st
     return scored.agg((F.sum(w * F.coalesce(score, F.lit(0.0))) / F.sum(w)).alias("silhouette_squared"))
 
 
-def sample_rows(scaled: DataFrame, size: int = SAMPLE_SIZE) -> DataFrame:
-    """A fixed sample: the rows with the smallest hash of their visit id.
+def centre_distances(centres: Sequence[Sequence[float]], label: Column,
+                     columns: Sequence[str] = tuple(Z)) -> tuple[Column, Column]:
+    """Distance of a row to its own centre and to the nearest other one."""
+    gaps = F.array(*[F.sqrt(_squared_distance(c, columns)) for c in centres])
+    others = F.filter(gaps, lambda d, i: i != label)
+    return F.get(gaps, label), F.array_min(others)
 
-    Every task of a top-k sends k rows to the one that merges them. A threshold
-    on the hash, set from the row count to leave several times ``size`` rows in
-    all, keeps that merge small however many tasks there are.
-    """
-    hashed = scaled.withColumn(
-        "_u", F.pmod(F.xxhash64("visit_id"), F.lit(1 << 53)) / float(1 << 53))
-    rows = scaled.agg(F.count(F.lit(1))).scalar()
-    return (hashed.where(F.col("_u") * rows <= 8.0 * size)
-            .orderBy("_u", "visit_id").limit(size).drop("_u"))
+
+def simplified_score(own: Column, other: Column) -> Column:
+    """Silhouette of a row by its distances to centres; 0 where it stands between two."""
+    return F.coalesce(F.try_divide(other - own, F.greatest(own, other)), F.lit(0.0))
 
 
-def silhouette_sampled(sample: DataFrame, labels: Sequence[str], columns: Sequence[str] = tuple(Z)) -> DataFrame:
-    """Euclidean silhouette of several labelings over a bounded sample.
+def silhouette_simplified(points: DataFrame, centres: Sequence[Sequence[float]],
+                          columns: Sequence[str] = tuple(Z)) -> DataFrame:
+    """Simplified silhouette over all rows: distances to centres stand for means over rows.
 
-    The sample (at most ``SAMPLE_SIZE`` rows) is shared with every task; each
-    task scores its part of the sample against the whole of it.
+    On the Euclidean scale, so the usual bands apply; a row costs k distances.
     """
-    spark = sample.sparkSession
-    bounded = sample.select(*columns, *labels).limit(SAMPLE_SIZE).toPandas()
-    shared = spark.sparkContext.broadcast((
-        bounded[list(columns)].to_numpy(float), bounded[list(labels)].to_numpy(int)))
-    n_columns, names = len(columns), list(labels)
-
-    def score(batches):
-        xs, ls = shared.value
-        groups = []
-        for j in range(ls.shape[1]):
-            member = np.zeros((len(xs), ls[:, j].max() + 1))
-            member[np.arange(len(xs)), ls[:, j]] = 1.0
-            groups.append((member, member.sum(axis=0)))
-        norms = (xs * xs).sum(axis=1)
-        for batch in batches:
-            x, own = batch.iloc[:, :n_columns].to_numpy(float), batch.iloc[:, n_columns:].to_numpy(int)
-            d = np.sqrt(np.maximum(
-                (x * x).sum(axis=1)[:, None] + norms[None, :] - 2 * x @ xs.T, 0.0))
-            rows = np.arange(len(x))
-            for j, (member, sizes) in enumerate(groups):
-                sums, mine = d @ member, own[:, j]
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    a = sums[rows, mine] / (sizes[mine] - 1)
-                    other = np.where(sizes > 0, sums / sizes, np.inf)
-                    other[rows, mine] = np.inf
-                    b = other.min(axis=1)
-                    s = np.where(sizes[mine] > 1, (b - a) / np.maximum(a, b), 0.0)
-                yield pd.DataFrame({"labeling": [names[j]], "s": [np.nan_to_num(s).sum()], "n": [len(s)]})
-
-    slices = spark.createDataFrame(bounded).repartition(
-        max(1, spark.sparkContext.defaultParallelism))
-    return (
-        slices.mapInPandas(score, "labeling string, s double, n bigint")
-        .groupBy("labeling").agg((F.sum("s") / F.sum("n")).alias("silhouette"))
-    )
+    own, other = centre_distances(centres, F.col("cluster"), columns)
+    w = _weight(points)
+    return points.agg((F.sum(w * simplified_score(own, other)) / F.sum(w)).alias("silhouette"))
 
 
 # --- sweep and selection ------------------------------------------------------
@@ -362,36 +327,86 @@ def sweep(
         return job, fit_hierarchical(vectors, k, seed)
 
     jobs = [(a, k) for k in ks for a in algorithms]
-    with ThreadPool(parallel_fits) as pool:
-        models = dict(pool.map(inheritable_thread_target(points.sparkSession)(fit), jobs))
-    vectors.unpersist()
-
-    labelled = _labelled(points, models)
-    long = labelled.select(*Z, "w", "dwell_hours", "cost", F.inline(F.array(*[
-        F.struct(F.lit(a).alias("algorithm"), F.lit(k).alias("k"),
-                 F.col(_label_name(a, k)).alias("cluster"))
-        for a, k in jobs])))
+    try:
+        with ThreadPool(parallel_fits) as pool:
+            models = dict(pool.map(inheritable_thread_target(points.sparkSession)(fit), jobs))
+    finally:
+        vectors.unpersist()
+    return Sweep(scaled, cut_lineage(model_metrics(points, models)), models)
+
+
+def _long(points: DataFrame, models: dict) -> DataFrame:
+    """Every point once for each model, with its label and distances to the model's centres."""
+    return _labelled(points, models).select(*Z, "w", "dwell_hours", "cost", F.inline(F.array(*[
+        _placed(a, k, F.col(_label_name(a, k)), model.clusterCenters())
+        for (a, k), model in models.items()])))
+
+
+def _placed(algorithm: str, k: int, label: Column, centres: Sequence[Sequence[float]]) -> Column:
+    own, other = centre_distances([[float(x) for x in c] for c in centres], label)
+    return F.struct(
+        F.lit(algorithm).alias("algorithm"), F.lit(k).alias("k"), label.cast("int").alias("cluster"),
+        own.alias("own"), other.alias("other"))
+
+
+def metrics_of(long: DataFrame) -> DataFrame:
+    """Metrics of every model from rows (algorithm, k, cluster, own, other, Z, w, dwell_hours, cost)."""
     model = ["algorithm", "k"]
+    norm = sum((F.col(c) * F.col(c) for c in Z[1:]), F.col(Z[0]) * F.col(Z[0]))
     stats = cut_lineage(long.groupBy(*model, "cluster").agg(
-        F.sum("w").alias("n"),
-        F.sum(F.col("w") * sum((F.col(c) * F.col(c) for c in Z[1:]), F.col(Z[0]) * F.col(Z[0]))).alias("ss"),
+        F.sum("w").alias("n"), F.sum(F.col("w") * norm).alias("ss"),
         *[F.sum(F.col("w") * F.col(c)).alias(f"sum_{c}") for c in Z],
         F.sum(F.col("w") * F.col("dwell_hours")).alias("dwell"),
-        F.sum(F.col("w") * F.col("cost")).alias("cost")))
-    names = [_label_name(a, k) for a, k in jobs]
-    silhouettes = silhouette_sampled(_labelled(sample_rows(scaled), models), names)
-    named = F.create_map(*[
-        x for (a, k), n in zip(jobs, names)
-        for x in (F.lit(n), F.struct(F.lit(a).alias("algorithm"), F.lit(k).alias("k")))])
-    metrics = (
+        F.sum(F.col("w") * F.col("cost")).alias("cost"),
+        F.sum(F.col("w") * simplified_score(F.col("own"), F.col("other"))).alias("score")))
+    return (
         dispersion_metrics(stats, model)
         .join(davies_bouldin(long, stats, model), model)
-        .join(silhouettes.select(named[F.col("labeling")].alias("m"), "silhouette")
-              .select("m.algorithm", "m.k", "silhouette"), model)
+        .join(stats.groupBy(*model).agg((F.sum("score") / F.sum("n")).alias("silhouette")), model)
         .join(segment_contrast(stats, model), model)
-        .drop("clusters", "rows")
+        .drop("clusters", "rows").withColumn("silhouette_metric", F.lit(SILHOUETTE))
     )
-    return Sweep(scaled, cut_lineage(metrics), models)
+
+
+def model_metrics(points: DataFrame, models: dict) -> DataFrame:
+    return metrics_of(_long(points, models))
+
+
+def fixed_models(scaled: DataFrame, models: dict) -> DataFrame:
+    """Rows for ``metrics_of`` from given centres: {(algorithm, k): centres}, labels by distance."""
+    points = weighted_points(scaled)
+    for (algorithm, k), centres in models.items():
+        points = nearest_centroid(points, centres).withColumnRenamed(
+            "cluster", _label_name(algorithm, k)).drop("squared_distance")
+    return points.select(*Z, "w", "dwell_hours", "cost", F.inline(F.array(*[
+        _placed(a, k, F.col(_label_name(a, k)), centres) for (a, k), centres in models.items()])))
+
+
+def fit_facts(result: Sweep, tolerance: float = 0.01) -> DataFrame:
+    """What holds for any good fit, for each model (one row).
+
+    ``rows`` labelled and ``segments`` found; ``nearest``: no row of a k-means model
+    lies nearer to another centre; ``settled``: one more step of moving centres to
+    their means lowers the inertia by less than ``tolerance`` of it; ``falls``: the
+    inertia is not above that of fewer segments.
+    """
+    long = _long(weighted_points(result.scaled), result.models)
+    model = ["algorithm", "k"]
+    w = F.col("w")
+    by_cluster = long.groupBy(*model, "cluster").agg(
+        F.sum("w").alias("n"), F.sum(w * F.col("own") * F.col("own")).alias("now"),
+        F.sum(F.when(F.col("other") < F.col("own") - 1e-9, w).otherwise(0)).alias("nearer"),
+        F.sum(w * sum((F.col(c) * F.col(c) for c in Z[1:]), F.col(Z[0]) * F.col(Z[0]))).alias("ss"),
+        *[F.sum(w * F.col(c)).alias(f"sum_{c}") for c in Z])
+    rows = by_cluster.groupBy(*model).agg(
+        F.sum("n").alias("rows"), F.count(F.lit(1)).alias("segments"), F.sum("nearer").alias("nearer"),
+        F.sum("now").alias("now"), F.sum(F.col("ss") - _spread(Z)).alias("then"))
+    fewer = F.lag("then").over(Window.partitionBy("algorithm").orderBy("k"))
+    return rows.select(
+        *model, "rows", "segments",
+        (F.when(F.col("algorithm") == "KMeans", F.col("nearer") == 0).otherwise(True)).cast("int").alias("nearest"),
+        (F.col("now") - F.col("then") <= tolerance * F.col("now")).cast("int").alias("settled"),
+        F.coalesce(F.col("then") <= fewer, F.lit(True)).cast("int").alias("falls"))
 
 
 def segment_contrast(stats: DataFrame, model: Sequence[str]) -> DataFrame:
@@ -427,7 +442,9 @@ def select_best(
             F.coalesce("max_revenue_share", F.lit(0.0)) <= 0.60)
     few_ok = (F.col("min_pct") >= 2) & (F.col("max_pct") <= 65) & (F.col("k") <= 5)
     rule = (F.when(sizes_ok, 1).when(few_ok, 2).when(F.col("k") == 4, 3).otherwise(4))
-    ranked = metrics.where(F.col("k") <= max_k).withColumn("rule", rule)
+    # Ranked as reported, to four decimals, so that ties resolve by fewer segments.
+    ranked = metrics.where(F.col("k") <= max_k).withColumns({
+        "rule": rule, "silhouette": F.round("silhouette", 4)})
     preferred = F.when(F.col("algorithm") == "KMeans", 0).otherwise(1)
     order = [F.desc("silhouette"), F.asc("k"), preferred]
     if tie_margin is not None:
@@ -460,11 +477,18 @@ def dominant_values(labelled: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def segment_profiles(labelled: DataFrame, places: bool = True) -> DataFrame:
-    """Size, dwell, TEU, cost, dominant categories and overstay share per segment."""
+    """Size, dwell, TEU, cost, dominant categories and overstay share per segment.
+
+    Labels, and the features read here, are written once and read three times: for
+    the sums, the medians and the dominant values.
+    """
     r = (lambda c, n: F.round(c, n)) if places else (lambda c, n: c)
     n = F.count(F.lit(1))
     described = [c for c in ("movement_type", "container_type", "flow_path")
                  if c in labelled.columns]
+    labelled = cut_lineage(labelled.select("cluster", *[c for c in (
+        "gate_in_time", "gate_out_time", "dwell_days", "teu_equivalent", "storage_cost_usd", "is_overstay",
+        "container_type", "movement_type", "flow_path") if c in labelled.columns]))
     base = labelled.groupBy("cluster").agg(
         n.alias("count"),
         mean_days(dwell_micros()).alias("mean_dwell_days"),

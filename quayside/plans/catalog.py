@@ -210,11 +210,7 @@ def weekly_utilization(spark, sf_dir):
 
 @register
 def weekly_matrix(spark, sf_dir):
-    weeks = ["1998-01-05", "1998-01-12", "1998-01-19"]
-    matrix = occupancy.weekly_matrix(block_day(spark, sf_dir), weeks)
-    named = matrix.select("yard_block", "overall_util", *[
-        F.col(f"`{w}`").alias("week_" + w.replace("-", "_")) for w in weeks])
-    return rounded(named, 6, *named.columns[1:])
+    return rounded(occupancy.weekly_matrix(block_day(spark, sf_dir)), 6, "mean_util", "overall_util")
 
 
 @register
@@ -294,7 +290,8 @@ def events_hourly_stream(spark, sf_dir):
     out = scratch_folder(spark, "events-hourly")
     counts = gate_counts.hourly_counts(stream, "2 hours")
     gate_counts.write_counts(counts, f"{out}/data", f"{out}/state").awaitTermination()
-    return spark.read.schema(counts.schema).parquet(f"{out}/data")
+    written = spark.read.schema(counts.schema).parquet(f"{out}/data")
+    return gate_counts.with_open_hours(written, spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
 # --- dwell reports ---------------------------------------------------------------
@@ -596,14 +593,58 @@ def segment_opportunity(spark, sf_dir):
                    4, "opportunity_cost", "net_impact")
 
 
+# Given centres of several sizes, so that metrics and selection have exact answers.
+FIXED_MODELS = {
+    ("KMeans", 3): CENTRES[:3], ("KMeans", 4): CENTRES[:4], ("KMeans", 5): CENTRES,
+    ("Hierarchical", 4): CENTRES[1:], ("Hierarchical", 3): CENTRES[2:],
+}
+
+
+def fixed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scaled = segments.scaled_features(feats(spark, sf_dir))
+    return segments.metrics_of(segments.fixed_models(scaled, FIXED_MODELS))
+
+
 @register
 def clustering_sweep(spark, sf_dir):
-    return segments.sweep(feats(spark, sf_dir), ks=(3, 4), n_init=1).metrics
+    """Every k, algorithm and restart; what must hold for any good fit."""
+    return segments.fit_facts(segments.sweep(feats(spark, sf_dir)))
+
+
+@register
+def model_metrics(spark, sf_dir):
+    metrics = fixed_metrics(spark, sf_dir)
+    return rounded(metrics, 5, *[c for c, t in metrics.dtypes if t == "double"])
+
+
+@register
+def elbow_curve(spark, sf_dir):
+    return rounded(segments.elbow_curve(fixed_metrics(spark, sf_dir)), 5, "inertia", "silhouette")
 
 
 @register
 def best_clustering(spark, sf_dir):
-    return segments.select_best(segments.sweep(feats(spark, sf_dir), ks=(2, 5), n_init=1).metrics)
+    """The choice under each rule: by size, with a margin for ties, strict, and every fallback."""
+    metrics = fixed_metrics(spark, sf_dir)
+    cases = {
+        "default": {}, "tie_margin": {"tie_margin": 0.5}, "strict": {"strict": True},
+        "few_segments": {"min_pct": 99}, "small": {"max_k": 3},
+    }
+    out = None
+    for name, options in cases.items():
+        row = segments.select_best(metrics, **options).select(
+            F.lit(name).alias("case"), "algorithm", "k", "rule", "silhouette", "quality", "warning")
+        out = row if out is None else out.union(row)
+    return out
+
+
+@register
+def recommendations_by_cost(spark, sf_dir):
+    rows = labelled(spark, sf_dir)
+    cost = impact.overstay_opportunity(rows, SAMPLE_TARIFF, ["cluster"])
+    named = segments.segment_labels(segments.segment_profiles(rows))
+    return rounded(segments.recommendations(named, cost), 4, "opportunity_cost").select(
+        "cluster", "label", "opportunity_cost")
 
 
 # --- forecasts ---------------------------------------------------------------------
@@ -637,11 +678,12 @@ def holt_winters(spark, sf_dir):
 
 @register
 def simple_smoothing(spark, sf_dir):
-    """Series too short for a season: the first days of the calendar."""
-    series = daily(spark, sf_dir, ["yard_block"])
-    first = series.agg(F.min("date")).scalar()
-    models = forecast.holt_winters(
-        forecast.split_series(series.where(F.datediff("date", first) < 15)))
+    """Series too short for a season: every block's days, cut into runs of thirteen."""
+    days = daily(spark, sf_dir, ["yard_block"])
+    first = days.agg(F.min("date")).scalar()
+    run = F.floor(F.datediff("date", first) / 13).cast("bigint")
+    series = days.withColumn("series_id", F.concat_ws("/", "series_id", run.cast("string")))
+    models = forecast.holt_winters(forecast.split_series(series))
     # Twelve places hold these values exactly, so rounding meets no ties.
     return rounded(forecast.forecast_curve(models), 12, "predicted").drop(
         "band_15pct_low", "band_15pct_high")
@@ -676,19 +718,24 @@ def utilization_breach(spark, sf_dir):
 
 @register
 def optimised_holt_winters(spark, sf_dir):
-    series = forecast.split_series(daily(spark, sf_dir))
+    series = forecast.split_series(daily(spark, sf_dir, ["yard_block"]))
     return _curve(forecast.optimised_holt_winters(series))
 
 
 @register
 def seasonal_form_by_aic(spark, sf_dir):
-    series = forecast.split_series(daily(spark, sf_dir))
-    grid = [(a, b, g) for a in (0.1, 0.3) for b in (0.0, 0.1) for g in (0.1, 0.3)]
-    return forecast.season_form_by_aic(series, grid=grid).select(
+    series = forecast.split_series(daily(spark, sf_dir, ["yard_block"]))
+    return forecast.season_form_by_aic(series).select(
         "series_id", "model", F.round("aic", 4).alias("aic"))
 
 
+@register
+def in_sample_accuracy(spark, sf_dir):
+    series = forecast.split_series(daily(spark, sf_dir, ["yard_block"]))
+    return forecast.accuracy(forecast.holt_winters(series), places=5, in_sample=True)
+
+
 @register
 def rolling_backtest(spark, sf_dir):
-    return rounded(forecast.rolling_backtest(daily(spark, sf_dir), every=28), 5,
+    return rounded(forecast.rolling_backtest(daily(spark, sf_dir, ["yard_block"])), 5,
                    "mape", "rmse", "mae")

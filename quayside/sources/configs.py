@@ -31,23 +31,37 @@ def scan_yard(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _documents(spark: SparkSession, path: str, schema) -> list:
+    """All configuration documents under a path (a handful, fetched whole)."""
+    return spark.read.schema(schema).option("multiLine", True).json(path).collect()
+
+
 def read_yard(spark: SparkSession, path: str) -> YardConfig:
-    """The yard configuration as a plan-time object (one row is fetched)."""
-    row = (spark.read.schema(YARD_SCHEMA).option("multiLine", True)
-           .json(path).first())
+    """The yard configuration as a plan-time object.
+
+    Blocks of several documents are joined in their order; names and gate counts come
+    from the first document that has them.
+    """
+    rows = _documents(spark, path, YARD_SCHEMA)
     blocks = tuple(
         Block(b.block_id, b.teu_capacity, b.reefer_plug_count,
               bool(b.has_reefer_plugs), b.rows, b.bays, b.max_tier,
               tuple(b.accepts_types or ()))
-        for b in (row.blocks or [])
+        for row in rows for b in (row.blocks or [])
     )
-    return YardConfig(blocks, row.terminal_name, row.gate_count_in, row.gate_count_out)
+    head = lambda name: next((row[name] for row in rows if row[name] is not None), None)
+    return YardConfig(blocks, head("terminal_name"), head("gate_count_in"), head("gate_count_out"))
 
 
 def read_tariff(spark: SparkSession, path: str) -> TariffConfig:
-    """The tariff as a plan-time object; absent parts fall back to defaults."""
-    row = (spark.read.schema(TARIFF_SCHEMA).option("multiLine", True)
-           .json(path).first())
+    """The tariff as a plan-time object; absent parts fall back to defaults.
+
+    Tariffs cannot be joined, so more than one document is an error.
+    """
+    rows = _documents(spark, path, TARIFF_SCHEMA)
+    if len(rows) != 1:
+        raise ValueError(f"{path} holds {len(rows)} tariffs; one is needed")
+    row = rows[0]
     tiers = tuple(Tier(t.from_day, t.to_day, t.rate_per_teu_per_day)
                   for t in (row.storage_tiers or []))
     rate = row.avg_throughput_revenue_per_teu

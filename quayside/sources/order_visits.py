@@ -20,21 +20,10 @@ def _after(start: Column, seconds: Column) -> Column:
     return F.timestamp_add("SECOND", seconds.cast("bigint"), start)
 
 
-def _spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a table of fewer files than cores, which one task would read whole.
-
-    Decided on the file list when the plan is built; a table with enough files
-    is read as it lies, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
-
-
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*LINE_COLUMNS)
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         "o_orderkey", "o_orderpriority")
-    lines = _spread(lines, "l_orderkey", "l_linenumber", "l_partkey")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
 
 

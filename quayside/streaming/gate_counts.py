@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -13,18 +13,29 @@ def hourly_counts(events: DataFrame, late: str = "2 hours", time: str = "ts", *k
 
     On a stream, an hour is emitted once the watermark has passed it and later
     arrivals for it are dropped; on a batch frame the watermark has no effect.
+    Hours are those of UTC (of the plain time, if it has no zone), whatever the
+    zone of the session.
     """
-    stamped = events.withColumn("_ts", F.col(time).cast("timestamp"))
+    stamped = events.withColumn("_ts", _instant(F.col(time), dict(events.dtypes)[time]))
     if events.isStreaming:
         stamped = stamped.withWatermark("_ts", late)
     return (
         stamped.groupBy(F.window("_ts", "1 hour").alias("w"), *keys)
         .agg(F.count(F.lit(1)).alias("gate_throughput_hr"))
-        .select(F.col("w.start").cast("date").alias("date"),
-                F.hour("w.start").alias("hour"), *keys, "gate_throughput_hr")
+        .withColumn("_h", F.floor(F.unix_seconds("w.start") / 3600))
+        .select(F.date_from_unix_date(F.floor(F.col("_h") / 24).cast("int")).alias("date"),
+                F.pmod(F.col("_h"), F.lit(24)).cast("int").alias("hour"), *keys, "gate_throughput_hr")
     )
 
 
+def _instant(time: Column, kind: str) -> Column:
+    """A timestamp; a time without a zone is read as UTC, not in the session's zone."""
+    if kind != "timestamp_ntz":
+        return time
+    start = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", start, time))
+
+
 def read_events(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 1) -> DataFrame:
     return (spark.readStream.schema(schema)
             .option("maxFilesPerTrigger", files_per_batch).parquet(path))
@@ -35,3 +46,14 @@ def write_counts(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     return (counts.writeStream.outputMode("append").format("parquet")
             .option("path", path).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
+
+
+def with_open_hours(written: DataFrame, events: DataFrame, time: str = "ts", *keys: str) -> DataFrame:
+    """Counts that a stream has written, and those of the hours it still held when it ended.
+
+    A watermark never reaches the last hours of a stream that ends. They are counted
+    from the events behind the last written hour, as a batch.
+    """
+    past = written.agg(F.max(F.timestamp_add("HOUR", F.col("hour") + 1, F.col("date").cast("timestamp_ntz")))).scalar()
+    rest = events.where(past.isNull() | (F.col(time) >= past))
+    return written.unionByName(hourly_counts(rest, "0 seconds", time, *keys))
