@@ -37,12 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm import kernel as K
-from quayside.llm.tables import arrow_schema, cut_lineage, documents
+from quayside.llm.tables import arrow_schema, cut_lineage, documents, free_shuffles
 
 WINDOW, ANCHOR = 13, 5
 NO_ID = -(1 << 63)
-_ANCHORS = "doc_id bigint, t bigint, anchor bigint, at int, n int"
-_PREPARED = "doc_id bigint, t bigint, n_words bigint, whole binary, copy boolean, text string, at array<int>, n array<int>"
+_ANCHORS = "doc_id bigint, t bigint, anchor bigint, spot bigint"
+_PREPARED = "doc_id bigint, t bigint, n_words bigint, whole binary, copy boolean, text string, spots array<bigint>"
 _FOUND = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 binary"
 _HASHED = "doc_id bigint, t bigint, w bigint"
 
@@ -79,7 +79,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             owner = text[first]
             yield pa.RecordBatch.from_arrays([
                 pa.array(ids[row:end_row][owner]), pa.array(t[row:end_row][owner]), pa.array(value.view(np.int64)),
-                pa.array((first - heads[owner]).astype(np.int32)), pa.array(n.astype(np.int32))], schema=schema)
+                pa.array((first - heads[owner]) << 32 | n)], schema=schema)
 
 
 def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,13 +91,12 @@ def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = (text.as_py() or "").encode().split()
             counts.append(len(words))
             digests.append(hashlib.sha256(b" ".join(words)).digest())
-        copy, at = batch.column("copy").fill_null(False), batch.column("at")
-        going = np.asarray(at.is_valid()) & ~np.asarray(copy)
+        copy, spots = batch.column("copy").fill_null(False), batch.column("spots")
+        going = np.asarray(spots.is_valid()) & ~np.asarray(copy)
         text = batch.column("text").cast(pa.string())
         yield pa.RecordBatch.from_arrays([
             batch.column("doc_id"), batch.column("t"), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()),
-            copy, _only(text, going), _only(at.cast(pa.list_(pa.int32())), going),
-            _only(batch.column("n").cast(pa.list_(pa.int32())), going)], schema=schema)
+            copy, _only(text, going), _only(spots.cast(pa.list_(pa.int64())), going)], schema=schema)
 
 
 def _only(column: pa.Array, flags: np.ndarray) -> pa.Array:
@@ -116,12 +115,15 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             window, place = K.grams(hashes, text, WINDOW)
             counts = K.word_counts(text, end_row - row)
             heads = np.cumsum(counts) - counts
-            at, n = batch.column(3).slice(row, end_row - row), batch.column(4).slice(row, end_row - row)
-            owner = np.repeat(np.arange(end_row - row), np.diff(at.offsets.to_numpy()))
-            first = heads[owner] + at.flatten().to_numpy()
+            spots = batch.column(3).slice(row, end_row - row)
+            owner = np.repeat(np.arange(end_row - row), np.diff(spots.offsets.to_numpy()))
+            spots = spots.flatten().to_numpy()
+            # An id on several rows has the spots of all of them; those past the text's end go.
+            past = (heads + counts)[owner]
+            first = np.minimum(heads[owner] + (spots >> 32), past)
             change = np.zeros(len(text) + 1, dtype=np.int32)
             np.add.at(change, first, 1)
-            np.add.at(change, np.minimum(first + n.flatten().to_numpy(), len(text)), -1)
+            np.add.at(change, np.minimum(first + (spots & 0xFFFFFFFF), past), -1)
             wanted = (np.cumsum(change[:-1]) > 0)[place]
             window, owner = window[wanted], text[place[wanted]]
             _, once = np.unique(K.tagged(window, owner), return_index=True)
@@ -138,36 +140,37 @@ def _symbols(numbers: np.ndarray) -> str:
     return points.tobytes().decode("utf-32-le")
 
 
-def located(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, phrases: dict[int, int]) -> np.ndarray:
+def located(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray,
+            phrases: np.ndarray, smallest: np.ndarray) -> np.ndarray:
     """Which words of a block lie in an occurrence of a phrase whose smallest document comes before theirs.
 
-    ``phrases`` maps window hashes to smallest documents.
+    ``phrases`` are window hashes, with the smallest document of each.
     """
     import ahocorasick
 
     _, _, text, hashes = _words(data, offsets)
     gone = np.zeros(len(text) + 1, dtype=np.int32)
     window, place = K.grams(hashes, text, WINDOW)
-    keys = np.fromiter(phrases, dtype=np.int64, count=len(phrases)).view(K.U64)
+    keys, at = np.unique(phrases.view(K.U64), return_index=True)
     known, sample = np.unique(window, return_index=True)
-    hit = np.isin(known, keys)
-    if not hit.any():
+    hit = np.flatnonzero(np.isin(known, keys))
+    if not len(hit):
         return gone[:-1] > 0
+    values = smallest[at[np.searchsorted(keys, known[hit])]]
     _, numbers = np.unique(hashes, return_inverse=True)
     line = _symbols(numbers)
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-    signed = known[hit].view(np.int64).tolist()
-    for key, at in zip(signed, place[sample[hit]].tolist()):
-        automaton.add_word(line[at:at + WINDOW], phrases[key])
+    for place_, value in zip(place[sample[hit]].tolist(), values.tolist()):
+        automaton.add_word(line[place_:place_ + WINDOW], value)
     automaton.make_automaton()
     counts = K.word_counts(text, len(offsets) - 1)
-    head = 0
+    head, ends = 0, []
     for doc, count in zip(ids.tolist(), counts.tolist()):
-        for end, smallest in automaton.iter(line[head:head + count]):
-            if smallest < doc:
-                gone[head + end - WINDOW + 1] += 1
-                gone[head + end + 1] -= 1
+        ends += [head + end for end, value in automaton.iter(line[head:head + count]) if value < doc]
         head += count
+    ends = np.array(ends, dtype=np.int64)
+    np.add.at(gone, ends - WINDOW + 1, 1)
+    np.add.at(gone, ends + 1, -1)
     return np.cumsum(gone[:-1]) > 0
 
 
@@ -177,8 +180,8 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, lists = batch.column(0).to_numpy(), batch.column(2)
         for row, end_row, data, offsets in K.blocks(batch.column(1)):
             pairs = lists.slice(row, end_row - row).flatten()
-            phrases = dict(zip(pairs.field("w").to_pylist(), pairs.field("first").to_pylist()))
-            gone = located(data, offsets, ids[row:end_row], phrases)
+            gone = located(data, offsets, ids[row:end_row],
+                           pairs.field("w").to_numpy(), pairs.field("first").to_numpy())
             start, end, text = K.words(data, offsets)
             counts = K.word_counts(text, end_row - row)
             removed = np.bincount(text[gone], minlength=end_row - row)
@@ -208,13 +211,16 @@ def remove_repeated_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: s
     found = named.mapInArrow(_anchor_rows, _ANCHORS)
     recurring = cut_lineage(found.groupBy("anchor").agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
                             .where("lo <> hi").select("anchor"))
-    spots = found.join(recurring, "anchor", "left_semi").groupBy("doc_id", "t").agg(
-        F.collect_list("at").alias("at"), F.collect_list("n").alias("n"))
-    notes = cut_lineage(spots.join(copies, ["doc_id", "t"], "full"))
+    free_shuffles(docs.sparkSession)
+    spots = found.join(recurring, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_list("spot").alias("spots"))
+    notes = cut_lineage(named.select("doc_id", "t").join(spots, "doc_id").dropDuplicates(["doc_id", "t"])
+                        .join(copies, ["doc_id", "t"], "full"))
+    free_shuffles(docs.sparkSession)
     prepared = cut_lineage(texts.join(notes, ["doc_id", "t"], "left").mapInArrow(_prepare, _PREPARED))
+    free_shuffles(docs.sparkSession)
 
     going = prepared.where("text is not null")
-    windows = cut_lineage(going.select("doc_id", "t", "text", "at", "n").mapInArrow(_window_rows, _HASHED))
+    windows = cut_lineage(going.select("doc_id", "t", "text", "spots").mapInArrow(_window_rows, _HASHED))
     first = windows.groupBy("w").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")) \
         .where("first < last").select("w", "first")
     phrases = windows.join(first, "w").where("first < doc_id").groupBy("doc_id", "t").agg(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 import quayside
 from quayside.session import cut_lineage
 
-__all__ = ["arrow_schema", "cut_lineage", "documents", "ship_package", "utf8_sha256"]
+__all__ = ["arrow_schema", "cut_lineage", "documents", "free_shuffles", "ship_package", "utf8_sha256"]
 
 _shipped: set[str] = set()
 
@@ -37,6 +38,16 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of steps that are written and no longer referenced.
+
+    It does so when the driver collects its garbage, which a driver with little to do
+    may put off until the whole job has ended.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Id and text under fixed names, whatever else the table holds; null text is empty."""
     return df.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
