@@ -930,6 +930,34 @@ select count(*) as total_rows, (select count(*) from clean) as valid_rows,
  (count(*) - (select count(*) from clean)) / cast(count(*) as double) * 100 as excluded_pct,
  count(*) filter (where gate_out_time is null) / cast(count(*) as double) * 100 as open_pct from faulty"""),
 
+    "ingest_checks": sql(VISITS + """,
+d as (
+ select cast(split_part(visit_id, '-', 1) as bigint) as o, cast(split_part(visit_id, '-', 3) as bigint) as p, gate_out_time
+ from visits)""", """
+select 'total_rows' as "check", '*' as "column", cast(count(*) as double) as value from d
+union all select 'domain', 'size_ft', count(*) filter (where p % 50 in (3, 4)) from d
+union all select 'nulls', 'size_ft', count(*) filter (where p % 50 = 5) from d
+union all select 'nulls', 'remark', count(*) filter (where p % 3 = 0) from d
+union all select 'nulls', 'gate_out_time', count(*) filter (where gate_out_time is null and o % 30 <> 7) from d
+union all select 'unreadable', 'gate_out_time', count(*) filter (where o % 30 = 7) from d"""),
+    "missing_columns": """
+select 'missing_column' as "check", 'error' as level, unnest(['size_ft', 'yard_block']) as "column"
+union all select 'optional_column', 'ok', unnest(['iso_type_code', 'yard_bay', 'yard_row', 'yard_tier', 'vessel_name',
+ 'shipping_line', 'gate_in_mode', 'gate_out_mode'])""",
+    "stored_visits": sql(VISITS + f""",
+d as (
+ select * replace (case when p % 50 in (3, 4, 5) then null else size_ft end as size_ft,
+  case when o % 30 = 7 then null else gate_out_time end as gate_out_time)
+ from (select *, cast(split_part(visit_id, '-', 1) as bigint) as o, cast(split_part(visit_id, '-', 3) as bigint) as p
+  from visits)),
+ordered as (select *, row_number() over (partition by container_id, gate_in_time order by visit_id) as rn from d)""", f"""
+select visit_id, container_id, size_ft, gate_in_time, gate_out_time from ordered where rn = 1
+ and not coalesce(gate_out_time < gate_in_time, false) and not coalesce(gate_in_time > {AS_OF}, false)
+ and not coalesce(gate_out_time > {AS_OF}, false)"""),
+    "stored_labels": sql(LABELLED, "select visit_id, container_id, cluster from labelled"),
+    "stored_block_days": sql(FEATS + "," + BLOCK_DAY, """
+select yard_block, date, container_count, teu_occupied from block_day"""),
+
     "scaling_statistics": sql(SCALED, "select " + ", ".join(
         f"round({c}, 6) as {c}" for c in [
             "dwell_hours__mean", "dwell_hours__std", "dwell_hours__skew", "dwell_hours__log_mean",

@@ -12,7 +12,9 @@ from quayside.functions import visit as V
 from quayside.functions.exact import mean_days, sum_days, sum_money
 from quayside.params import AnalysisParams, TariffConfig
 
+# --- fixed values: throughput cases ---
 WHAT_IF = ((0.7, "-30%"), (1.0, "current"), (1.3, "+30%"), (1.5, "+50%"))
+# ---------------------------------------
 PRIORITY_COLUMNS = [
     "container_id", "dwell_days", "yard_block", "movement_type", "container_type",
     "size_ft", "shipping_line", "vessel_name", "storage_cost_usd",

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from quayside import schema as S
 from quayside.functions import visit as V
 from quayside.functions.exact import quantiles
-from quayside.sources.visits import POSITION, RAW_IN, RAW_OUT
+from quayside.sources.visits import POSITION, RAW, RAW_OUT
 
 CHECK_SCHEMA = "check string, level string, column string, metric string, value double"
 KEY = ["container_id", "gate_in_time"]
@@ -31,8 +31,11 @@ def _moment(as_of: str | None) -> Column:
 
 
 def data_columns(df: DataFrame) -> list[str]:
-    """The visit columns proper, without keys and helpers we added."""
-    return [c for c in S.REQUIRED_COLUMNS + S.OPTIONAL_COLUMNS if c in df.columns]
+    """The columns of the input, known and unknown, without keys and helpers we added."""
+    added = {"visit_id", POSITION, *RAW.values()}
+    known = [c for c in S.REQUIRED_COLUMNS + S.OPTIONAL_COLUMNS if c in df.columns]
+    return known + [f.name for f in df.schema.fields if f.name not in added and f.name not in known
+                    and f.dataType.typeName() not in ("map", "array", "struct", "variant")]
 
 
 def source_order(df: DataFrame) -> list[Column]:
@@ -97,7 +100,7 @@ def duplicate_counts(visits: DataFrame) -> DataFrame:
         same_key = same_key & F.col(c).eqNullSafe(F.col(f"_{c}"))
     exact = (
         visits.join(repeated, same_key, "left_semi")
-        .groupBy(*data_columns(visits)).agg(F.count(F.lit(1)).alias("copies"))
+        .groupBy(*[F.col(f"`{c}`") for c in data_columns(visits)]).agg(F.count(F.lit(1)).alias("copies"))
         .agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))).scalar()
     )
     return repeated.agg(
@@ -167,14 +170,16 @@ def row_checks(visits: DataFrame, as_of: str | None = None) -> DataFrame:
         ("gate_out_mode", S.GATE_MODES),
     ):
         if column in present:
-            c.flag("domain", column, _outside(column, domain))
+            bad = _outside(column, domain)
+            if RAW.get(column) in present:  # text that is no number is no valid size either
+                bad = bad | (F.col(RAW[column]).isNotNull() & F.col(column).isNull())
+            c.flag("domain", column, bad)
     c.flag("non_positive", "weight_tons", F.col("weight_tons") <= 0)
 
-    raw = {"gate_in_time": RAW_IN, "gate_out_time": RAW_OUT}
     for column in data_columns(visits):
-        source = raw.get(column, column)
+        source = RAW.get(column, column)
         source = source if source in present else column
-        n = c.count(f"nulls__{column}", F.col(source).isNull())
+        n = c.count(f"nulls__{column}", F.col(f"`{source}`").isNull())
         pct = F.round(_pct(n), 2)
         if column == "gate_out_time":
             level = _level(pct > OPEN_WARNING_PCT, "warning")

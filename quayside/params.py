@@ -19,7 +19,7 @@ class AnalysisParams:
     overstay_threshold_days: float = 7
     utilization_warning_pct: float = 80
     forecast_horizon_days: int = 14
-    num_segments: int = 4
+    num_segments: int | None = None  # none: chosen by the metrics
     random_seed: int = 42
     analysis_date_start: str | None = None
     analysis_date_end: str | None = None

@@ -20,9 +20,12 @@ from quayside.operators import (
 )
 from quayside.params import SAMPLE_TARIFF, SAMPLE_YARD, AnalysisParams
 from quayside.schema import MOVEMENT_TYPES
+from quayside.plans.validation import validate
 from quayside.session import scratch_folder
+from quayside.sources import sinks
 from quayside.sources.configs import block_dimension
 from quayside.sources.order_visits import visits
+from quayside.sources.visits import load_visits
 from quayside.streaming import gate_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -499,6 +502,61 @@ def report_shares(spark, sf_dir):
     return quality.report_shares(faulty(spark, sf_dir), AS_OF)
 
 
+def dirty_files(spark: SparkSession, sf_dir: str) -> str:
+    """The visits as text files with unreadable sizes and times and a column nobody knows."""
+    part = lambda i: F.split_part("visit_id", F.lit("-"), F.lit(i)).cast("bigint")
+    o, p = part(1), part(3)
+    rows = visits(spark, sf_dir).withColumns({
+        "size_ft": F.when(p % 50 == 3, "abc").when(p % 50 == 4, "22.5").when(p % 50 == 5, None)
+        .otherwise(F.col("size_ft").cast("string")),
+        "gate_out_time": F.when(o % 30 == 7, "not a time").otherwise(F.col("gate_out_time").cast("string")),
+        "remark": F.when(p % 3 > 0, "seen"),
+    })
+    path = scratch_folder(spark, "dirty-visits")
+    rows.write.option("header", True).csv(path)
+    return path
+
+
+@register
+def ingest_checks(spark, sf_dir):
+    """Checks of visits that went through text files: what is absent and what is unreadable."""
+    checks = quality.row_checks(load_visits(spark, dirty_files(spark, sf_dir)), AS_OF)
+    return checks.where(F.col("metric").isin("rows") & (
+        F.concat_ws("/", "check", "column").isin(
+            "total_rows/*", "domain/size_ft", "nulls/size_ft", "nulls/remark", "nulls/gate_out_time",
+            "unreadable/gate_out_time"))).select("check", "column", "value")
+
+
+@register
+def missing_columns(spark, sf_dir):
+    """Required columns that a table lacks, and the optional ones it has."""
+    lacking = visits(spark, sf_dir).drop("yard_block", "size_ft")
+    return quality.schema_checks(spark, lacking.columns).select("check", "level", "column")
+
+
+@register
+def stored_visits(spark, sf_dir):
+    """Visits through text files, validation, the sink of clean visits and back."""
+    path = scratch_folder(spark, "clean-visits")
+    loaded = load_visits(spark, dirty_files(spark, sf_dir))
+    sinks.write_clean_visits(validate(spark, loaded, AS_OF), path)
+    return spark.read.parquet(path).select("visit_id", "container_id", "size_ft", "gate_in_time", "gate_out_time")
+
+
+@register
+def stored_labels(spark, sf_dir):
+    path = scratch_folder(spark, "labels")
+    sinks.write_labels(labelled(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+@register
+def stored_block_days(spark, sf_dir):
+    path = scratch_folder(spark, "block-days")
+    sinks.write_by_date(block_day(spark, sf_dir).select("yard_block", "date", "container_count", "teu_occupied"), path)
+    return spark.read.parquet(path).select("yard_block", "date", "container_count", "teu_occupied")
+
+
 # --- segments ----------------------------------------------------------------------
 
 @register

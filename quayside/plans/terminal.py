@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.operators import dwell, features, forecast, gate, impact, occupancy
+from quayside.operators import dwell, features, forecast, gate, impact, occupancy, segments
 from quayside.params import AnalysisParams, TariffConfig, YardConfig
 from quayside.session import cut_lineage
 from quayside.sources import sinks
@@ -65,6 +65,49 @@ def forecasts(tables: TerminalTables, params: AnalysisParams, optimise: bool = T
     return first, second, forecast.select_model(first, second)
 
 
+def outlook(models: DataFrame, yard: YardConfig, params: AnalysisParams = AnalysisParams()) -> DataFrame:
+    """When the forecast load passes the warning level of the parameters."""
+    return forecast.breach(models, yard.total_capacity, params.utilization_warning_pct)
+
+
+@dataclass
+class Segmentation:
+    metrics: DataFrame
+    chosen: DataFrame
+    labelled: DataFrame
+    profiles: DataFrame
+    revenue: DataFrame
+    recommendations: DataFrame
+
+
+def segmentation(
+    feats: DataFrame, params: AnalysisParams = AnalysisParams(), tariff: TariffConfig | None = None,
+    ks=range(2, 11), n_init: int = 10,
+) -> Segmentation:
+    """From visit features to labels, profiles, names, revenue and advice.
+
+    ``num_segments`` fixes the number of segments; without it the metrics choose.
+    Advice is ordered by opportunity cost where a tariff is given, else by dwell.
+    """
+    if params.num_segments is not None:
+        ks = [params.num_segments]
+    sweep = segments.sweep(feats, ks, n_init=n_init, seed=params.random_seed)
+    chosen = cut_lineage(segments.select_best(sweep.metrics, max_k=max(ks)) if params.num_segments is not None
+                         else segments.select_best(sweep.metrics))
+    best = chosen.first()  # one row
+    labelled = cut_lineage(sweep.label(best["algorithm"], best["k"]))
+    profiles = segments.segment_labels(segments.segment_profiles(labelled))
+    cost = impact.overstay_opportunity(labelled, tariff, ["cluster"]) if tariff is not None else None
+    return Segmentation(sweep.metrics, chosen, labelled, profiles, segments.revenue_by_segment(labelled),
+                        segments.recommendations(profiles, cost))
+
+
+def write_segmentation(found: Segmentation, path: str) -> None:
+    sinks.write_models(found.metrics, found.chosen, f"{path}/models")
+    sinks.write_labels(found.labelled, f"{path}/labels")
+    sinks.write_profiles(found.profiles, found.recommendations, f"{path}/segments")
+
+
 def reports(tables: TerminalTables, tariff: TariffConfig | None = None) -> dict[str, DataFrame]:
     """The report tables by name; those that need a tariff only with one."""
     f, b = tables.features, tables.block_day
@@ -80,6 +123,12 @@ def reports(tables: TerminalTables, tariff: TariffConfig | None = None) -> dict[
         "weekly_utilization": occupancy.weekly_utilization(b),
         "gate_by_hour": gate.mean_by_hour(tables.gate_hourly),
         "priority_list": impact.priority_list(f),
+        "congestion_flags": occupancy.congestion_flags(occupancy.block_summary(b)),
+        "peak_events": occupancy.peak_events(b),
+        "plug_trend": occupancy.plug_trend(b),
+        "gate_by_direction": gate.hourly_by_direction(f),
+        "port_comparison": dwell.port_comparison(f),
+        "path_comparison": dwell.path_comparison(f),
     }
     if "flow_path" in f.columns:
         out["flow_path_ranking"] = dwell.flow_path_ranking(f)

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.operators import quality as Q
 from quayside.schema import missing_required, present_optional
 from quayside.session import cut_lineage
+from quayside.sources.visits import load_visits
 
 
 @dataclass
@@ -79,3 +82,17 @@ def validate(
     clean = Q.clean_visits(visits, as_of)
     checks = cut_lineage(Q.quality_checks(visits, as_of))  # a few dozen rows, used repeatedly
     return Validation(checks, clean, visits, configs)
+
+
+def validate_files(
+    spark: SparkSession, path: str, fmt: str = "csv", as_of: str | None = None,
+    yard_given: bool = False, tariff_given: bool = False,
+) -> Validation:
+    """Load and check visit files; files that cannot be read give a FAIL report, not an error."""
+    try:
+        return validate(spark, load_visits(spark, path, fmt), as_of, yard_given, tariff_given)
+    except (PySparkException, Py4JJavaError) as error:
+        checks = spark.createDataFrame([("unreadable_file", "error", "*", "files", 1.0)], Q.CHECK_SCHEMA)
+        configs = {"yard_config_provided": yard_given, "tariff_config_provided": tariff_given,
+                   "reason": str(error).splitlines()[0][:300]}
+        return Validation(checks, None, spark.createDataFrame([], "visit_id string"), configs)

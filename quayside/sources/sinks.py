@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from quayside.operators.occupancy import type_mix_json
 from quayside.plans.validation import Validation
-from quayside.sources.visits import POSITION, RAW_IN, RAW_OUT
+from quayside.sources.visits import POSITION, RAW
 
 
 def write_clean_visits(validation: Validation, path: str) -> bool:
     """Validated visits, unless the data failed; tells whether anything was written."""
     if validation.clean is None or validation.status == "FAIL":
         return False
-    helpers = [c for c in (POSITION, RAW_IN, RAW_OUT) if c in validation.clean.columns]
+    helpers = [c for c in (POSITION, *RAW.values()) if c in validation.clean.columns]
     validation.clean.drop(*helpers).write.mode("overwrite").parquet(path)
     return True
 
@@ -33,8 +33,9 @@ def write_quality_table(validation: Validation, path: str) -> None:
 
 
 def write_by_date(df: DataFrame, path: str) -> None:
-    """Partitioned by day, one shuffle by day so that a day is few files."""
-    (df.repartition("date").write.mode("overwrite").partitionBy("date").parquet(path))
+    """Partitioned by month, as a day holds few rows; one shuffle, so that a month is few files."""
+    (df.withColumn("month", F.date_format("date", "yyyy-MM")).repartition("month")
+     .write.mode("overwrite").partitionBy("month").parquet(path))
 
 
 def write_if_any(df: DataFrame, path: str) -> bool:
@@ -59,3 +60,14 @@ def write_labels(labelled: DataFrame, path: str) -> None:
 def write_forecast(curve: DataFrame, accuracy: DataFrame, path: str) -> None:
     curve.write.mode("overwrite").json(f"{path}/curve")
     accuracy.write.mode("overwrite").json(f"{path}/accuracy")
+
+
+def write_models(metrics: DataFrame, chosen: DataFrame, path: str) -> None:
+    """Metrics of all models, and the chosen one with its warning."""
+    metrics.write.mode("overwrite").parquet(f"{path}/metrics")
+    chosen.write.mode("overwrite").parquet(f"{path}/chosen")
+
+
+def write_profiles(profiles: DataFrame, recommendations: DataFrame, path: str) -> None:
+    profiles.write.mode("overwrite").parquet(f"{path}/profiles")
+    recommendations.write.mode("overwrite").parquet(f"{path}/recommendations")

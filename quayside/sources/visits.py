@@ -1,9 +1,8 @@
 """Reading container visits from files.
 
 Files are read as text (CSV) or as stored (parquet) and coerced without
-throwing: a value that cannot be read becomes null, and the raw text of the two
-time columns is kept so that the quality checks can tell "absent" from
-"unreadable".
+throwing: a value that cannot be read becomes null, and the raw text of times and
+numbers is kept so that the quality checks can tell "absent" from "unreadable".
 """
 
 from __future__ import annotations
@@ -11,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from quayside.schema import COLUMN_TYPES
+from quayside.session import cut_lineage
 
 # Text that stands for "no value" in CSV files (fixed values).
 NULL_TOKENS = [
@@ -23,6 +24,10 @@ NULL_TOKENS = [
 
 POSITION = "source_position"
 RAW_IN, RAW_OUT = "gate_in_raw", "gate_out_raw"
+# Raw text of the columns that are not text themselves.
+RAW = {"gate_in_time": RAW_IN, "gate_out_time": RAW_OUT, **{
+    name: f"{name}_raw" for name, kind in COLUMN_TYPES.items()
+    if isinstance(kind, (T.IntegerType, T.DoubleType))}}
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -32,14 +37,16 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
         F.when(~F.col(f"`{c}`").isin(NULL_TOKENS), F.col(f"`{c}`")).alias(c)
         for c in raw.columns
     ]
-    # A split is read front to back by one task, so (file, split start, running
-    # id) reproduces file order whichever task reads which split.
-    position = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("offset"),
-        F.monotonically_increasing_id().alias("row"),
-    ).alias(POSITION)
-    return raw.select(*cleaned, position)
+    split = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("offset")]
+    rows = raw.select(*cleaned, *split, F.monotonically_increasing_id().alias("_id"))
+    # A split is read front to back by one task, so ids run on within it. How files are
+    # cut into splits depends on the session; the row's number in its file does not.
+    splits = cut_lineage(raw.select(*split, F.monotonically_increasing_id().alias("_id"))
+                         .groupBy("file", "offset").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")))
+    before = Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    position = F.struct("file", (F.col("_before") + F.col("_id") - F.col("_first")).alias("row")).alias(POSITION)
+    return rows.join(splits, ["file", "offset"]).select(*[F.col(f"`{c}`") for c in raw.columns], position)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -47,7 +54,6 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.parquet(path)
     position = F.struct(
         F.col("_metadata.file_path").alias("file"),
-        F.lit(0).cast("bigint").alias("offset"),
         F.col("_metadata.row_index").alias("row"),
     ).alias(POSITION)
     return raw.select("*", position)
@@ -69,20 +75,17 @@ def coerce(raw: DataFrame) -> DataFrame:
     """Known columns in their visit types, unreadable values as null.
 
     Adds ``visit_id`` from the source position unless the input has one, and
-    keeps the raw time values under ``gate_in_raw`` / ``gate_out_raw``.
+    keeps the raw text of times and numbers under the names in ``RAW``.
     """
     out = []
     for name in raw.columns:
         out.append(_coerced(raw, name).alias(name) if name in COLUMN_TYPES else F.col(name))
-    if "gate_in_time" in raw.columns:
-        out.append(F.col("gate_in_time").cast("string").alias(RAW_IN))
-    if "gate_out_time" in raw.columns:
-        out.append(F.col("gate_out_time").cast("string").alias(RAW_OUT))
+    out += [F.col(name).cast("string").alias(kept) for name, kept in RAW.items() if name in raw.columns
+            and (name in ("gate_in_time", "gate_out_time") or raw.schema[name].dataType == T.StringType())]
     if "visit_id" not in raw.columns:
         p = F.col(POSITION)
         out.append(F.concat_ws(
-            "-", F.hex(F.xxhash64(p["file"])), p["offset"].cast("string"),
-            p["row"].cast("string")).alias("visit_id"))
+            "-", F.hex(F.xxhash64(p["file"])), p["row"].cast("string")).alias("visit_id"))
     return raw.select(*out)
 
 

@@ -71,8 +71,12 @@ def test_metrics_equal_brute_force(labelled, arrays):
     assert segments.davies_bouldin(labelled, stats).first().davies_bouldin == pytest.approx(db)
     assert segments.silhouette_squared(labelled, stats).first().silhouette_squared == pytest.approx(
         silhouette(x, labels, 2))
-    assert segments.silhouette_sampled(labelled, ["cluster"]).first().silhouette == pytest.approx(
-        silhouette(x, labels, 1))
+    gaps = np.sqrt(((x[:, None] - np.array(CENTRES)[None]) ** 2).sum(-1))
+    own = gaps[np.arange(n), labels]
+    gaps[np.arange(n), labels] = np.inf
+    other = gaps.min(axis=1)
+    assert segments.silhouette_simplified(labelled, CENTRES).first().silhouette == pytest.approx(
+        np.mean((other - own) / np.maximum(own, other)))
 
 
 def test_weighted_points_keep_the_total(feats):
@@ -139,5 +143,8 @@ def test_sweep_measures_every_model(feats):
     assert {(r.algorithm, r.k) for r in rows} == {(a, k) for a in ("KMeans", "Hierarchical") for k in (2, 3)}
     inertia = {(r.algorithm, r.k): r.inertia for r in rows}
     assert inertia["KMeans", 3] < inertia["KMeans", 2]
+    facts = segments.fit_facts(done).collect()
+    assert [r for r in facts if r.algorithm == "KMeans" and not (
+        r.nearest and r.falls and r.rows == 200 and r.segments == r.k)] == []
     best = segments.select_best(done.metrics).first()
     assert done.label(best.algorithm, best.k).select("cluster").distinct().count() == best.k
