@@ -313,7 +313,7 @@ def sweep(
     n_init: int = 10,
     seed: int = 42,
     max_iter: int = 300,
-    parallel_fits: int = 4,
+    parallel_fits: int = 8,
 ) -> Sweep:
     """Fit every algorithm and k, and measure all models in shared passes."""
     scaled = scaled_features(features)
