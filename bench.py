@@ -3,7 +3,9 @@
 Environment: BENCH_SF_DIR (tables, default /root/testdata/sf0.1) and BENCH_CPUS
 (cores of the local session, default 8). Every query runs to completion into a
 sink that discards the rows. ``scenario`` is the whole analysis in one go:
-features, block-days, gate hours, surges, reports and both forecasts.
+validation with its report, features, block-days, gate hours, surges, reports and
+both forecasts. ``segmentation`` is one k with all ten restarts of both algorithms,
+selection, labels and profiles; BENCH_FULL_SWEEP=1 takes every k from 2 to 10.
 """
 
 from __future__ import annotations
@@ -15,7 +17,8 @@ import time
 from quayside.operators import forecast, segments
 from quayside.params import SAMPLE_TARIFF, SAMPLE_YARD, AnalysisParams
 from quayside.plans import catalog, terminal
-from quayside.session import cut_lineage, local_session
+from quayside.plans.validation import validate
+from quayside.session import clear_scratch, cut_lineage, local_session
 from quayside.sources.order_visits import visits
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -34,8 +37,9 @@ def drain(df) -> None:
 
 def scenario(spark) -> None:
     params = AnalysisParams()
-    tables = terminal.feature_tables(
-        spark, visits(spark, SF_DIR), params, SAMPLE_YARD, SAMPLE_TARIFF)
+    checked = validate(spark, cut_lineage(visits(spark, SF_DIR)))
+    checked.report()
+    tables = terminal.feature_tables(spark, checked.clean, params, SAMPLE_YARD, SAMPLE_TARIFF)
     for df in (tables.gate_hourly, tables.surges):
         drain(df)
     for df in terminal.reports(tables, SAMPLE_TARIFF).values():
@@ -45,6 +49,13 @@ def scenario(spark) -> None:
     drain(forecast.forecast_curve(first))
 
 
+def segmentation(spark) -> None:
+    params = AnalysisParams(num_segments=None if os.environ.get("BENCH_FULL_SWEEP") else 4)
+    found = terminal.segmentation(catalog.feats(spark, SF_DIR), params, SAMPLE_TARIFF)
+    for df in (found.profiles, found.revenue, found.recommendations):
+        drain(df)
+
+
 def kmeans_fit(spark) -> None:
     points = cut_lineage(segments.weighted_points(
         segments.scaled_features(catalog.feats(spark, SF_DIR))))
@@ -65,12 +76,14 @@ def main() -> None:
         timed(name, lambda: drain(catalog.QUERIES[name](spark, SF_DIR)))
     timed("kmeans_fit", lambda: kmeans_fit(spark))
     timed("scenario", lambda: scenario(spark))
+    timed("segmentation", lambda: segmentation(spark))
     rows = visits(spark, SF_DIR).count()
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(times.values()), 3),
         "unit": "sec", "queries": times, "sf": os.path.basename(SF_DIR.rstrip("/")),
         "visits": rows, "cpus": CPUS, "driver_memory": spark.conf.get("spark.driver.memory"),
     }))
+    clear_scratch(spark)
     spark.stop()
 
 

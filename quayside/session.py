@@ -35,16 +35,29 @@ def checkpoint_folder(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if context.master.split("[")[0] != "local":
                 raise RuntimeError("spark.checkpoint.dir must name a shared folder")
             folder = tempfile.mkdtemp(prefix="quayside-checkpoint-")
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
+_made: list[str] = []
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh path for intermediate files, next to the checkpoints."""
-    return f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes the intermediate files of this driver, once nothing reads them any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
