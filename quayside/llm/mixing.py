@@ -21,7 +21,8 @@ twice and never shuffled; what is joined to them is one row for each leaf.
 Defined results: null domain, language or source is the name ``(none)``; null and
 empty texts have 0 tokens, and documents without tokens are never selected; an
 empty table gives no rows. Tokens are words ``[^\\x20\\x09-\\x0D]+`` unless a
-count is given. Extra columns are kept.
+count is given. Extra columns are kept;
+those named like the four added ones are replaced.
 """
 
 from __future__ import annotations
@@ -134,11 +135,11 @@ def mix(
         "whole": F.when(F.col("tokens") > 0, F.expr("quota div tokens")).otherwise(F.lit(0)),
     }).withColumn("rest", F.col("quota") - F.col("whole") * F.col("tokens")))
 
-    def order_key(number: Column) -> Column:
-        return F.md5(F.concat_ws(":", F.lit(str(seed)), (F.col("whole") + 1).cast("string"), number))
+    def order_key(number: Column, whole: str) -> Column:
+        return F.md5(F.concat_ws(":", F.lit(str(seed)), (F.col(whole) + 1).cast("string"), number))
 
     keyed = rows.where("tokens > 0").join(quotas.select(*LEVELS, "whole", "rest"), list(LEVELS)) \
-        .where("rest > 0").withColumn("key", order_key(F.col("id"))) \
+        .where("rest > 0").withColumn("key", order_key(F.col("id"), "whole")) \
         .withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
     sums = keyed.groupBy(*LEVELS, "bucket", "rest").agg(F.sum("tokens").alias("n"))
     running = Window.partitionBy(*LEVELS).orderBy("bucket")
@@ -153,11 +154,12 @@ def mix(
     # No end bucket: the rest equals all tokens, which whole epochs exclude; no row in it: up to its start.
     cuts = cut_lineage(quotas.join(ends, list(LEVELS), "left").join(last, list(LEVELS), "left").select(
         *LEVELS, "quota", "whole", "rest", F.coalesce("last", "bucket").alias("cut")))
-    out = docs.select("*", *[c.alias(f"mix_{n}") for c, n in zip(
-        (_name(domain), _name(language), _name(source)), LEVELS)], tokens.alias("mix_tokens"))
-    cuts = cuts.select(*[F.col(n).alias(f"mix_{n}") for n in LEVELS], "quota", "whole", "rest", "cut")
-    epochs = F.col("whole") + F.when((F.col("rest") > 0) & (order_key(number) <= F.col("cut")), 1).otherwise(0)
-    return out.join(cuts, [f"mix_{n}" for n in LEVELS]).where("mix_tokens > 0") \
-        .withColumn("mix_epochs", epochs).where("mix_epochs > 0") \
-        .select(*[F.col(f"`{c}`") for c in docs.columns], "mix_domain", "mix_tokens",
-                F.col("quota").alias("mix_quota"), "mix_epochs")
+    # The input's columns travel as one, so none of theirs can clash with ours.
+    made = ("mix_domain", "mix_tokens", "mix_quota", "mix_epochs")
+    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), number.alias("id"), *path,
+                      tokens.alias("n")).where("n > 0").join(cuts, list(LEVELS))
+    epochs = F.col("whole") + F.when((F.col("rest") > 0) & (order_key(F.col("id"), "whole") <= F.col("cut")), 1) \
+        .otherwise(0)
+    return out.withColumn("epochs", epochs).where("epochs > 0").select(
+        *[F.col("row").getField(c).alias(c) for c in docs.columns if c not in made],
+        *[F.col(c).alias(n) for c, n in zip(("domain", "n", "quota", "epochs"), made)])

@@ -32,7 +32,7 @@ from quayside.llm import kernel as K
 from quayside.llm.tables import arrow_schema, documents
 
 MARK = "▁"
-TABLE_BYTES = 8 << 20
+TABLE_BYTES = 2 << 20
 _ENCODED = "doc_id bigint, ids binary"
 _DECODED = "doc_id bigint, ids binary, text string"
 

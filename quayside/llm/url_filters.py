@@ -115,7 +115,8 @@ def url_verdicts(
     ruled = cut_lineage(fits.groupBy("h", "p").agg(F.max(rank).alias("r"))
                         .select("h", "p", "r.rule", "r.said"))
 
-    base = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c not in made],
+    # The input's columns travel as one, so none of theirs can clash with ours.
+    base = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"),
                         url.alias("_url"), host_of(url).alias("host"), path_of(url).alias("path"))
     judged = base.join(ruled.withColumnsRenamed({"h": "host", "p": "path"}), ["host", "path"], "left")
 
@@ -139,6 +140,6 @@ def url_verdicts(
     heard = votes.groupBy("class").agg(F.min("said").alias("heard"))
     out = judged.join(heard, "class", "left")
     return out.select(
-        *[F.col(f"`{c}`") for c in pages.columns if c not in made], "host", "path", "rule",
+        *[F.col("row").getField(c).alias(c) for c in pages.columns if c not in made], "host", "path", "rule",
         F.coalesce("said", "heard", F.lit("allow")).alias("verdict"),
         (F.col("said").isNull() & F.col("heard").isNotNull()).alias("inherited"))

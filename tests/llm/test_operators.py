@@ -331,7 +331,8 @@ def brute_mix(rows, weights, share, epochs, seed):
 
 @pytest.mark.parametrize("share,epochs", [(50, 2), (100, 1), (130, 2), (0, 1), (7, 3)])
 def test_mixing(spark, odd, odd_rows, share, epochs):
-    got = mixing.mix(odd.withColumn("domain", F.lit("clash")), Q.domain_of(F.col("source")), F.col("lang"),
+    clash = odd.withColumns({c: F.lit("clash") for c in ("domain", "quota", "whole", "cut", "id", "n", "mix_epochs")})
+    got = mixing.mix(clash, Q.domain_of(F.col("source")), F.col("lang"),
                      F.col("source"), Q.MIX_WEIGHTS, share_percent=share, max_epochs=epochs, seed=7)
     found = {r.doc_id: (r.mix_tokens, r.mix_quota, r.mix_epochs) for r in got.collect()}
     assert found == brute_mix(odd_rows, Q.MIX_WEIGHTS, share, epochs, 7)
@@ -363,7 +364,8 @@ def test_url_verdicts(spark):
         (13, "https://free.example.com/page?utm_source=feed", ""), (14, "http://nets/", ""), (15, "http://x.org/fr/", ""),
         (15, "http://x.org/fr/", ""),
     ]
-    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("host", F.lit("clash"))
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumns(
+        {c: F.lit("clash") for c in ("host", "said", "class", "node", "heard", "row", "u")})
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in
            url_filters.url_verdicts(pages, url_filters.rule_table(pages, Q.URL_RULES)).collect()}
     assert got == {
