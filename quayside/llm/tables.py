@@ -18,11 +18,19 @@ __all__ = ["arrow_schema", "cut_lineage", "documents", "free_shuffles", "ship_pa
 _shipped: set[str] = set()
 
 
+ROWS_PER_BATCH = 2000
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, once for each application.
+    """Sends this package to the Python workers, once for each application, and keeps batches small.
 
-    For jobs that were not submitted with it; Spark serves the archive itself.
+    For jobs that were not submitted with it; Spark serves the archive itself. Texts are
+    long, so ten thousand of them, Spark's default for a batch, are more than a worker
+    should hold at a time.
     """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(rows)) > ROWS_PER_BATCH:
+        spark.conf.set(rows, str(ROWS_PER_BATCH))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
