@@ -219,9 +219,12 @@ def duplicate_checks(visits: DataFrame) -> DataFrame:
 
 def coverage(clean: DataFrame) -> DataFrame:
     """Rows, distinct containers and blocks, and the gate-in range (one row)."""
-    lo, hi = F.min("gate_in_time"), F.max("gate_in_time")
-    return clean.agg(
-        F.count(F.lit(1)).alias("valid_rows"),
+    # Distinct values are counted over the pairs that occur, not over the rows.
+    pairs = clean.groupBy("container_id", "yard_block").agg(
+        F.count(F.lit(1)).alias("n"), F.min("gate_in_time").alias("lo"), F.max("gate_in_time").alias("hi"))
+    lo, hi = F.min("lo"), F.max("hi")
+    return pairs.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("valid_rows"),
         F.count_distinct("container_id").alias("unique_containers"),
         F.count_distinct("yard_block").alias("unique_blocks"),
         F.to_date(lo).alias("start_date"), F.to_date(hi).alias("end_date"),
