@@ -144,7 +144,8 @@ def located(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray,
             phrases: np.ndarray, smallest: np.ndarray) -> np.ndarray:
     """Which words of a block lie in an occurrence of a phrase whose smallest document comes before theirs.
 
-    ``phrases`` are window hashes, with the smallest document of each.
+    ``phrases`` are window hashes, with the smallest document of each. The automaton
+    holds their positions, because it hands out 32 bits of a number only.
     """
     import ahocorasick
 
@@ -160,13 +161,13 @@ def located(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray,
     _, numbers = np.unique(hashes, return_inverse=True)
     line = _symbols(numbers)
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-    for place_, value in zip(place[sample[hit]].tolist(), values.tolist()):
-        automaton.add_word(line[place_:place_ + WINDOW], value)
+    for at_, place_ in enumerate(place[sample[hit]].tolist()):
+        automaton.add_word(line[place_:place_ + WINDOW], at_)
     automaton.make_automaton()
     counts = K.word_counts(text, len(offsets) - 1)
-    head, ends = 0, []
+    values, head, ends = values.tolist(), 0, []
     for doc, count in zip(ids.tolist(), counts.tolist()):
-        ends += [head + end for end, value in automaton.iter(line[head:head + count]) if value < doc]
+        ends += [head + end for end, at_ in automaton.iter(line[head:head + count]) if values[at_] < doc]
         head += count
     ends = np.array(ends, dtype=np.int64)
     np.add.at(gone, ends - WINDOW + 1, 1)

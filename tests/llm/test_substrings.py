@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayside.llm import fingerprints, phrases, suffix_dedup
+from quayside.llm import kernel as K
 from quayside.llm import queries as Q
 from tests.llm.conftest import SCHEMA, as_table, make_text
 
@@ -124,6 +125,30 @@ def test_phrases_without_ids(spark):
     assert sorted((r.doc_id or 0, r.n_removed) for r in got) == [(0, 0), (5, 0), (5, 0), (7, 20)]
 
 
+def located_in(texts, ids):
+    """``phrases.located`` on one block of texts, with every window as a phrase."""
+    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    _, _, text, hashes = phrases._words(data, offsets)
+    window, place = K.grams(hashes, text, phrases.WINDOW)
+    keys, group = np.unique(window, return_inverse=True)
+    smallest = np.full(len(keys), np.iinfo(np.int64).max)
+    np.minimum.at(smallest, group, np.array(ids, dtype=np.int64)[text[place]])
+    return phrases.located(data, offsets, np.array(ids, dtype=np.int64), keys.view(np.int64), smallest)
+
+
+@pytest.mark.parametrize("first", [7, (1 << 31) - 1, 3_000_000_000, (1 << 33) + 5, -(1 << 33), -(1 << 31) - 2, (1 << 62) + 1])
+def test_phrases_of_wide_ids(spark, first):
+    shared = " ".join(f"w{i}" for i in range(20))
+    texts = [f"{name} {shared} {name}" for name in "abc"]
+    ids = [first, first + 1, first + 2]
+    gone = located_in([t.encode() for t in texts], ids).reshape(3, 22)
+    assert gone.sum(axis=1).tolist() == [0, 20, 20]
+    rows = [(i, t, "en", "s", 0) for i, t in zip(ids, texts)]
+    got = phrases.remove_repeated_phrases(spark.createDataFrame(rows, SCHEMA).coalesce(1)).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in got} == brute_phrases(rows)
+
+
 def brute_edit(rows):
     order = sorted(rows, key=lambda r: r[0])
     out = {}
