@@ -41,6 +41,9 @@ from quayside.llm.tables import arrow_schema, cut_lineage, documents, free_shuff
 
 WINDOW, ANCHOR = 13, 5
 NO_ID = -(1 << 63)
+# Words with an automaton of their own: far fewer than there are code points, and few
+# enough for its root, whose children are searched one after the other.
+RUN_WORDS = 1 << 13
 _ANCHORS = "doc_id bigint, t bigint, anchor bigint, spot bigint"
 _PREPARED = "doc_id bigint, t bigint, n_words bigint, whole binary, copy boolean, text string, spots array<bigint>"
 _FOUND = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 binary"
@@ -145,30 +148,34 @@ def located(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray,
     """Which words of a block lie in an occurrence of a phrase whose smallest document comes before theirs.
 
     ``phrases`` are window hashes, with the smallest document of each. The automaton
-    holds their positions, because it hands out 32 bits of a number only.
+    holds their positions, because it hands out 32 bits of a number only. A block
+    is searched in runs of words that overlap by all but one word of a window.
     """
     import ahocorasick
 
     _, _, text, hashes = _words(data, offsets)
     gone = np.zeros(len(text) + 1, dtype=np.int32)
-    window, place = K.grams(hashes, text, WINDOW)
     keys, at = np.unique(phrases.view(K.U64), return_index=True)
-    known, sample = np.unique(window, return_index=True)
-    hit = np.flatnonzero(np.isin(known, keys))
-    if not len(hit):
-        return gone[:-1] > 0
-    values = smallest[at[np.searchsorted(keys, known[hit])]]
-    _, numbers = np.unique(hashes, return_inverse=True)
-    line = _symbols(numbers)
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-    for at_, place_ in enumerate(place[sample[hit]].tolist()):
-        automaton.add_word(line[place_:place_ + WINDOW], at_)
-    automaton.make_automaton()
-    counts = K.word_counts(text, len(offsets) - 1)
-    values, head, ends = values.tolist(), 0, []
-    for doc, count in zip(ids.tolist(), counts.tolist()):
-        ends += [head + end for end, at_ in automaton.iter(line[head:head + count]) if values[at_] < doc]
-        head += count
+    values, ends = smallest[at], []
+    for run in range(0, len(text) if len(keys) else 0, RUN_WORDS):
+        past = min(run + RUN_WORDS + WINDOW - 1, len(text))
+        window, place = K.grams(hashes[run:past], text[run:past], WINDOW)
+        known, sample = np.unique(window, return_index=True)
+        spot = np.minimum(np.searchsorted(keys, known), len(keys) - 1)
+        hit = np.flatnonzero(keys[spot] == known)
+        if not len(hit):
+            continue
+        first = values[spot[hit]].tolist()
+        _, numbers = np.unique(hashes[run:past], return_inverse=True)
+        line = _symbols(numbers)
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for number, head in enumerate(place[sample[hit]].tolist()):
+            automaton.add_word(line[head:head + WINDOW], number)
+        automaton.make_automaton()
+        heads = np.flatnonzero(np.diff(text[run:past], prepend=-1))
+        docs = ids[text[run + heads]].tolist()
+        for doc, head, tail in zip(docs, heads.tolist(), [*heads[1:].tolist(), past - run]):
+            ends += [run + head + end for end, number in automaton.iter(line[head:tail]) if first[number] < doc]
     ends = np.array(ends, dtype=np.int64)
     np.add.at(gone, ends - WINDOW + 1, 1)
     np.add.at(gone, ends + 1, -1)

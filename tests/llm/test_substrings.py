@@ -149,6 +149,29 @@ def test_phrases_of_wide_ids(spark, first):
     assert {r.doc_id: tuple(r)[1:] for r in got} == brute_phrases(rows)
 
 
+@pytest.mark.parametrize("run", [700, 5000])
+def test_phrases_across_runs(passages, monkeypatch, run):
+    monkeypatch.setattr(phrases, "RUN_WORDS", run)
+    texts = [" ".join(w.decode() for w in WORD.findall((t or "").encode())).encode() for _, t, *_ in passages]
+    gone = located_in(texts, [i for i, *_ in passages])
+    want, at = brute_phrases(passages), 0
+    for (i, *_), text in zip(passages, texts):
+        words = text.split(b" ") if text else []
+        flags, at = gone[at:at + len(words)], at + len(words)
+        assert (len(words), int(flags.sum()), sha(b" ".join(w for w, g in zip(words, flags) if not g))) == want[i], i
+    assert at == len(gone)
+
+
+def test_phrases_in_a_text_with_more_words_than_code_points():
+    shared = [f"s{i}" for i in range(20)]
+    long = [f"{i:x}" for i in range(1_250_000)]
+    cut = 5 * phrases.RUN_WORDS
+    long = long[:cut - 5] + shared + long[cut - 5:] + shared
+    gone = located_in([" ".join(shared).encode(), " ".join(long).encode()], [1, 2])[len(shared):]
+    where = np.flatnonzero(gone)
+    assert where.tolist() == [*range(cut - 5, cut + 15), *range(len(long) - 20, len(long))]
+
+
 def brute_edit(rows):
     order = sorted(rows, key=lambda r: r[0])
     out = {}
