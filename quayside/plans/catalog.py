@@ -289,7 +289,7 @@ def events_hourly(spark, sf_dir):
 @register
 def events_hourly_stream(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    stream = gate_counts.read_events(spark, f"{sf_dir}/events*.parquet", schema)
+    stream = gate_counts.read_events(spark, f"{sf_dir}/events*.parquet", schema, files_per_batch=None)
     out = scratch_folder(spark, "events-hourly")
     counts = gate_counts.hourly_counts(stream, "2 hours")
     gate_counts.write_counts(counts, f"{out}/data", f"{out}/state").awaitTermination()

@@ -36,9 +36,16 @@ def _instant(time: Column, kind: str) -> Column:
     return F.timestamp_micros(F.timestamp_diff("MICROSECOND", start, time))
 
 
-def read_events(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 1) -> DataFrame:
-    return (spark.readStream.schema(schema)
-            .option("maxFilesPerTrigger", files_per_batch).parquet(path))
+def read_events(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = 1) -> DataFrame:
+    """The files as a stream; ``None`` takes all that are there as one batch.
+
+    The watermark moves between batches, so files that are not in order of time
+    need to share one, or their older events are late.
+    """
+    stream = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        stream = stream.option("maxFilesPerTrigger", files_per_batch)
+    return stream.parquet(path)
 
 
 def write_counts(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
