@@ -6,7 +6,8 @@ Kinds and their proposals (offsets in code points, end exclusive):
   within a kind. An address part over 255, a card without 16 to 19 digits or a
   failing Luhn sum, a phone without 8 to 15 digits drop the match; there are no retries.
 * ``iban``: two letters, two digits and 11 to 30 more characters, confirmed by
-  mod-97; the longest ending at a gap that passes.
+  mod-97; the longest ending at a gap that passes. The scan goes on behind an accepted
+  span, or behind the first four characters where no ending passes.
 * ``ssn``: ``ddd-dd-dddd`` with possible numbers.
 * ``account``: 13 to 15 digits that pass Luhn.
 
@@ -104,16 +105,19 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
-    for m in _IBAN.finditer(text):
-        whole, end = m[0], len(m[0])
+    m = _IBAN.search(text)
+    while m:
+        whole, end, resume = m[0], len(m[0]), m.start() + 4
         while end > 0:
             plain = whole[:end].replace(" ", "")
             if len(plain) < 15:
                 break
             if mod97(plain):
                 yield m.start(), m.start() + end
+                resume = m.start() + end
                 break
             end = whole.rfind(" ", 0, end)
+        m = _IBAN.search(text, resume)
 
 
 def _ssns(text: str) -> Iterator[tuple[int, int]]:

@@ -250,6 +250,21 @@ def test_base_spans(spark, odd, nothing, tmp_path):
     assert pii.pii_spans(nothing).count() == 0
 
 
+@pytest.mark.parametrize("text, want", [
+    ("DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32",
+     ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"]),
+    ("IBAN DE89 3704 0044 0532 0130 00 AND IBAN GB82 WEST 1234 5698 7654 32",
+     ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"]),
+    ("NO9386011117947 BE68539007547034", ["NO9386011117947", "BE68539007547034"]),
+    ("INVOICE AB12 PAY TO IBAN GB82 WEST 1234 5698 7654 32", ["GB82 WEST 1234 5698 7654 32"]),
+    ("AB12 CD34 EF56 GH78 GB82 WEST 1234 5698 7654 33", []),
+])
+def test_ibans_in_lists_and_upper_case(text, want):
+    spans = pii.find_spans(text)
+    assert [text[a:b] for k, a, b, _ in spans if k == "iban"] == want
+    assert not any(x in pii.masked(text) for x in want)
+
+
 def test_checksums_and_context(spark):
     kinds = lambda t: [s[0] for s in pii.find_spans(t)]
     assert kinds("pay to GB82 WEST 1234 5698 7654 32 NOW please") == ["iban"]
