@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm import (
-    fingerprints, mixing, near_duplicates, phrases, pii, quality_rules, sentencepiece_codec,
-    sql, suffix_dedup, token_counts, url_filters,
+    embedding_dedup, filter_audit, fingerprints, mixing, near_duplicates, periodic_runs, phrases, pii,
+    quality_rules, sentencepiece_codec, sql, suffix_dedup, token_counts, url_filters,
 )
 from quayside.llm.tables import ship_package, utf8_sha256
 
@@ -112,10 +112,50 @@ def op6_column_wise_suffixes(spark, sf_dir):
     return suffix_dedup.remove_repeated_substrings(read(spark, sf_dir, "documents"))
 
 
+def with_planted_tails(docs: DataFrame) -> DataFrame:
+    """Every tenth text or so, by its id, with its words from a place on replaced by repeats of a few."""
+    crc = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    chosen = docs.select("doc_id", "text", F.floor(crc / 10).alias("g"), F.when(crc % 10 == 0, words).alias("w"))
+    placed = chosen.withColumn("n", F.size("w").cast("bigint")) \
+        .withColumn("a", (F.col("g") % F.nullif("n", F.lit(0))).cast("int"))
+    tail = F.col("n") - F.col("a")
+    timed = placed.withColumn("p", (1 + F.floor(tail / (3 + F.col("g") % 8))).cast("int")) \
+        .withColumn("t", tail.cast("int"))
+    unit = F.slice("w", F.col("a") + 1, F.col("p"))
+    repeats = F.flatten(F.array_repeat(unit, F.ceil(F.col("t") / F.col("p")).cast("int")))
+    planted = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(repeats, F.lit(1), F.col("t"))), " ")
+    return timed.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+@register
+def op11_branching_tandems(spark, sf_dir):
+    found = periodic_runs.periodic_runs(with_planted_tails(read(spark, sf_dir, "documents")))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "strongest.start", "strongest.length",
+        "strongest.period", F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        utf8_sha256(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("")).alias("runs_sha256"),
+        utf8_sha256(F.col("text")).alias("collapsed_sha256"))
+
+
+@register
+def op12_radix_text_tries(spark, sf_dir):
+    masks = filter_audit.failure_masks(read(spark, sf_dir, "documents"))
+    return filter_audit.interactions(masks, read(spark, sf_dir, "labels"))
+
+
+@register
+def op13_pstable_hashing(spark, sf_dir):
+    return embedding_dedup.near_embeddings(read(spark, sf_dir, "embeddings"))
+
+
 ORACLES.update({
     "op1_redirect_equivalence": sql.url_verdicts(URL_RULES, url_filters.TRACKING),
     "op2_line_first_cleaning": sql.quality_measures(quality_rules),
     "op5_super_minhash": sql.NEAR,
     "op9_phrase_automata": sql.PHRASES,
     "op10_hierarchical_budgeting": sql.mixing(**MIX),
+    "op12_radix_text_tries": sql.FILTER_AUDIT,
+    "op13_pstable_hashing": sql.NEAR_EMBEDDINGS,
 })

@@ -92,6 +92,49 @@ select doc_id, len(w) as n_words, coalesce(n_removed, 0) as n_removed, sha256(co
 from d left join removed using (doc_id) left join kept using (doc_id)"""
 
 
+FILTER_AUDIT = rf"""
+with d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t, {WORDS} as w from documents),
+first as (select t, min(doc_id) as least from d group by t),
+m as (select doc_id, part, case when len(w) < 100 then 'A' else '' end
+    || case when 100 * len(list_distinct(w)) < 80 * len(w) then 'B' else '' end
+    || case when 100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) then 'C' else '' end
+    || case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end
+    || case when doc_id > least then 'E' else '' end as fails
+  from d join first using (t)),
+l as (select doc_id, coalesce(max(quality = 1), false) as good, coalesce(max(toxic = 1), false) as toxic from labels group by doc_id),
+c as (select part, fails, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic
+  from m left join l using (doc_id) group by all),
+f(x) as (values ('A'), ('B'), ('C'), ('D'), ('E')),
+o as (select a.x || b.x || c.x || d.x || e.x as filter_order from f a, f b, f c, f d, f e
+  where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s as (select filter_order, step, substr(filter_order, step, 1) as own, substr(filter_order, 1, step - 1) as before
+  from o, (select unnest(range(1, 6))::int as step)),
+x as (select *, contains(fails, own) as failed, translate(before, fails, '') = before as reached from c, s)
+select part, filter_order, step,
+  coalesce(sum(n) filter (reached and not failed), 0)::bigint as kept,
+  coalesce(sum(n) filter (reached and failed), 0)::bigint as removed,
+  coalesce(sum(n) filter (failed and not reached), 0)::bigint as redundant,
+  coalesce(sum(n) filter (fails = own), 0)::bigint as unique_fails,
+  coalesce(sum(good) filter (reached and failed), 0)::bigint as good_lost,
+  coalesce(sum(toxic) filter (reached and failed), 0)::bigint as toxic_lost,
+  coalesce(sum(n * 120 // greatest(length(fails), 1)) filter (failed), 0)::bigint as shapley
+from x group by all"""
+
+
+NEAR_EMBEDDINGS = """
+with recursive v as (select row_number() over () as rid, vec_id, label, embedding::double[] as e from embeddings),
+good as (select * from v where label is not null and vec_id is not null and len(e) > 0
+  and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(e, lambda x: x <> 0)) > 0),
+half as (select a.rid as a, b.rid as b from good a join good b on a.label = b.label and a.rid < b.rid and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.98),
+links as (select a, b from half union all select b, a from half),
+n as (select a as rid, count(*) as n_links from links group by a),
+reach(a, b) as (select rid, rid from v union select r.a, l.b from reach r join links l on l.a = r.b),
+c as (select a as rid, min(vec_id) as component_id from reach join v on v.rid = b group by a)
+select vec_id, coalesce(n_links, 0)::bigint as n_links, component_id, vec_id is null or vec_id = component_id as kept
+from v join c using (rid) left join n using (rid)"""
+
+
 def _weight(path: list[str], weights) -> str:
     out = "1"
     for names, value in weights.items():
