@@ -231,16 +231,15 @@ def failure_masks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return open_.mapInArrow(_in_ranges, _MASKS).union(judged.where("text is null").drop("text"))
 
 
-def _steps() -> list[tuple[str, int, int, int]]:
-    """Order, step, the step's bit and the bits of the steps before it, for all orders."""
-    out = []
-    for order in permutations(FILTERS):
-        before = 0
-        for step, name in enumerate(order, 1):
-            bit = 1 << FILTERS.index(name)
-            out.append(("".join(order), step, bit, before))
-            before |= bit
-    return out
+def _steps(counts: DataFrame) -> DataFrame:
+    """Every row with every order and step, the step's bit and the bits of the steps before it."""
+    orders = F.split(F.lit(" ".join("".join(o) for o in permutations(FILTERS))), " ")
+    bit = lambda letter: f"shiftleft(1, ascii({letter}) - {ord(FILTERS[0])})"
+    return counts.select("*", F.explode(orders).alias("filter_order")) \
+        .select("*", F.explode(F.sequence(F.lit(1), F.lit(len(FILTERS)))).alias("step")) \
+        .select("*", F.expr(bit("substring(filter_order, step, 1)")).alias("bit"),
+                F.expr("aggregate(slice(split(filter_order, ''), 1, step - 1), 0, (b, x) -> b + "
+                       + bit("x") + ")").alias("before"))
 
 
 def interactions(masks: DataFrame, labels: DataFrame) -> DataFrame:
@@ -253,10 +252,7 @@ def interactions(masks: DataFrame, labels: DataFrame) -> DataFrame:
     count = lambda flag: F.sum(F.when(F.col(flag), F.col("copies")).otherwise(0))
     counts = cut_lineage(known.groupBy("part", "mask").agg(
         F.sum("copies").alias("n"), count("good").alias("good"), count("toxic").alias("toxic")))
-    # 600 steps for each of at most 32 masks of a part, whatever the number of documents
-    steps = F.array(*[F.struct(F.lit(o).alias("filter_order"), F.lit(s).alias("step"), F.lit(b).alias("bit"),
-                               F.lit(before).alias("before")) for o, s, b, before in _steps()])
-    rows = counts.select("*", F.explode(steps).alias("s")).select("*", "s.*")
+    rows = _steps(counts)  # 600 for each of at most 32 masks of a part, whatever the number of documents
     mask, bit, before = F.col("mask"), F.col("bit"), F.col("before")
     fails, reached = mask.bitwiseAND(bit) != 0, mask.bitwiseAND(before) == 0
     total = lambda test, what="n": F.sum(F.when(test, F.col(what)).otherwise(0)).cast("bigint")
