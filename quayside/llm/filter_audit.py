@@ -10,8 +10,9 @@ anywhere in the table, and is settled by compressed tries over whole texts:
    with the smallest id go on with their text. However often a text is
    repeated, it leaves a partition's block of ``BLOCK_BYTES`` once.
 2. *Ranges.* Rows are dealt out by the first ``PREFIXES[0]`` characters of their text.
-   A prefix with more than ``RANGE_BYTES`` of text is replaced by the next longer ones, and so
-   on up to the whole text, so texts with a common opening spread over ranges as well.
+   A prefix with more text than a range should hold, which is ``RANGE_BYTES`` at most, is
+   replaced by the next longer ones, and so on up to the whole text, so texts with a common
+   opening spread over ranges as well.
 3. *In each range* all texts enter one trie. Its traversal compares the ids behind a
    terminal with the smallest one.
 4. *Masks* are joined with the labels by id, without texts, and counted for each part.
@@ -46,7 +47,7 @@ MARKUP = b"#$%&*|"
 CAPITALS = bytes(range(65, 91))
 COPY = 1 << FILTERS.index("E")
 BLOCK_BYTES = 8 << 20
-RANGE_BYTES = 16 << 20
+RANGE_BYTES, LEAST_RANGE = 16 << 20, 16 << 10
 PREFIXES = (8, 64, 512, 4096)
 _ROWS = "doc_id bigint, part string, mask int, copies bigint, text string"
 _MASKS = "doc_id bigint, part string, mask int, copies bigint"
@@ -195,25 +196,27 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 def by_prefix(rows: DataFrame, limit: int = RANGE_BYTES, lengths: tuple[int, ...] = PREFIXES) -> DataFrame:
     """``rows`` (with ``text``) dealt out so that equal texts meet; prefixes adapt to what they hold.
 
-    Prefixes that are replaced number at most all bytes / ``limit`` for each length; Spark
-    knows the size of the written list when it chooses a join.
+    A range should hold ``limit`` bytes, or an even share of them where that is less. The
+    prefixes of one length that are replaced are thus fewer than the ranges; Spark knows the
+    size of the written list when it chooses a join.
     """
     cells = [F.substring("text", 1, n) for n in lengths] + [F.col("text")]
     key, total, open_ = cells[0], None, rows.select("text")
-    dealt = rows
+    dealt, parts = rows, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for n, (cell, longer) in enumerate(zip(cells, cells[1:])):
         counted = open_.groupBy(cell.alias("cell")).agg(F.sum(F.octet_length("text") + 64).alias("bytes"))
         if total is None:
             counted = cut_lineage(counted)
             total = counted.agg(F.sum("bytes")).first()[0] or 0
-        heavy = cut_lineage(counted.where(F.col("bytes") > limit).select("cell"))
+            parts = max(parts, -(-total // limit))
+            share = max(min(LEAST_RANGE, limit), total // parts)
+        heavy = cut_lineage(counted.where(F.col("bytes") > share).select("cell"))
         if heavy.isEmpty():
             break
         open_ = open_.join(heavy, cell == F.col("cell"), "left_semi")
         mark = heavy.select(F.col("cell").alias(f"_cell{n}"))
         dealt = dealt.join(mark, cell == F.col(f"_cell{n}"), "left")
         key = F.when(F.col(f"_cell{n}").isNotNull(), longer).otherwise(key)
-    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // limit))
     return dealt.select(*rows.columns, key.alias("_key")).repartitionByRange(parts, "_key").select(*rows.columns)
 
 
