@@ -327,7 +327,8 @@ metrics as (
 
 
 def best_model(case: str, min_pct: float = 3, max_k: int = 8, margin: float | None = None, strict: bool = False) -> str:
-    sized = f"min_pct >= {min_pct} and max_pct <= 55" + (
+    low, high = (5, 40) if strict else (min_pct, 55)
+    sized = f"min_pct >= {low} and max_pct <= {high}" + (
         " and coalesce(min_dwell_gap, 1) > 0.10 and coalesce(max_revenue_share, 0) <= 0.60" if strict else "")
     near = "k * 0" if margin is None else f"case when s >= top - {margin} then 0 else 1 end"
     fewer = "k * 0" if margin is None else f"case when s >= top - {margin} then k else 999 end"
@@ -343,6 +344,26 @@ select * from (select '{case}' as "case", algorithm, k, rule, s as silhouette,
  order by rule, {near}, {fewer}, s desc, k, case algorithm when 'KMeans' then 0 else 1 end limit 1)"""
 
 
+CARGO_GROUPS = FEATS + """,
+points as (
+ select row_number() over (order by yard_block, container_type, movement_type) as id, container_type, movement_type,
+  round(avg(dwell_days), 6) as x, round(sum(teu_equivalent) / cast(count(*) as double), 6) as y,
+  round(avg(coalesce(weight_tons, 0)) / 10, 6) as z, cast(count(*) as double) as w
+ from feats where dwell_days is not null group by yard_block, container_type, movement_type)"""
+# One merge a step: the pair whose union adds least inertia becomes one row.
+WARD = CARGO_GROUPS + """,
+merges(step, id, w, x, y, z, grown) as (
+ select 0, id, w, x, y, z, cast(0 as double) from points
+ union all
+ (with pairs as (
+   select a.step, a.id as a, b.id as b, a.w * b.w / (a.w + b.w) * ((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2) as grown
+   from merges a join merges b on a.id < b.id),
+  best as (select * from pairs order by grown, a, b limit 1)
+  select m.step + 1, case when m.id = best.b then best.a else m.id end, sum(m.w), sum(m.w * m.x) / sum(m.w),
+   sum(m.w * m.y) / sum(m.w), sum(m.w * m.z) / sum(m.w), any_value(best.grown) from merges m, best group by 1, 2)),
+steps as (select step, count(*) as k, max(grown) as grown from merges group by step)"""
+
+
 PROFILES = LABELLED + f""",
 tops as (
  select cluster, col, value, n, row_number() over (partition by cluster, col order by n desc, value) as rn from (
@@ -1040,6 +1061,23 @@ select algorithm, k, round(inertia, 5) as inertia, round(silhouette, 5) as silho
     "best_clustering": sql(fixed_models(), " union all ".join([
         best_model("default"), best_model("tie_margin", margin=0.5), best_model("strict", strict=True),
         best_model("few_segments", min_pct=99), best_model("small", max_k=3)])),
+    "cargo_group_tree": sql(WARD, """
+select cast(a.k as int) as k, round(sqrt(2 * b.grown), 6) as cut_height,
+ round((select sum(grown) from steps c where c.step <= a.step), 6) as inertia, cast(0 as double) as leaf_inertia
+from steps a join steps b on b.step = a.step + 1 where a.k between 2 and 12""", recursive=True),
+    "cargo_group_silhouettes": sql(CARGO_GROUPS + """,
+labels as (
+ select *, 'by_reefer' as label, cast(container_type = 'reefer' as int) as c from points
+ union all select *, 'by_movement', case movement_type when 'import' then 0 when 'export' then 1 else 2 end from points),
+sums as (
+ select a.label, a.id, a.w, a.c as own, b.c, sum(b.w) as n,
+  sum(b.w * sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2)) as total
+ from labels a join labels b on a.label = b.label group by all),
+ab as (
+ select label, id, w, max(n) filter (c = own) as own_n, max(total / (n - 1)) filter (c = own and n > 1) as a,
+  min(total / n) filter (c <> own) as b from sums group by all)""", """
+select label, round(sum(w * case when own_n > 1 then coalesce((b - a) / greatest(a, b), 0) else 0 end) / sum(w), 6) as silhouette,
+ cast(0 as double) as silhouette_bound from ab group by label"""),
     "recommendations_by_cost": sql(NAMED + """,
 cost as (""" + opportunity(LABELLED, "labelled", "cluster") + ")", """
 select cluster, label, round(opportunity_cost, 4) as opportunity_cost from named join cost using (cluster)"""),

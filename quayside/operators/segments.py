@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import BisectingKMeans, KMeans
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from pyspark.sql.window import Window
 from quayside.functions import bands
 from quayside.functions.exact import cents, mean_days, mean_money, quantiles_wide, sum_money
 from quayside.functions.visit import dwell_micros
+from quayside.operators import cells
 from quayside.operators.quality import adjusted_skewness
 from quayside.session import cut_lineage
 
@@ -61,15 +62,16 @@ def scaling(features: DataFrame) -> DataFrame:
     return rows.agg(*aggs)
 
 
-def scaled_features(features: DataFrame) -> DataFrame:
+def scaled_features(features: DataFrame, scales: DataFrame | None = None) -> DataFrame:
     """Closed visits with one z-scored column per clustering feature.
 
     Skewed features (beyond +-2) are logged first; a constant feature is left
     undivided. The statistics enter as a one-row subquery, so the plan stays
-    lazy although the log step depends on the data.
+    lazy although the log step depends on the data. ``scales`` takes them from a
+    stored row of ``scaling``, so that every use has the same last digits.
     """
     rows = _inputs(features)
-    one = scaling(features)
+    one = scaling(features) if scales is None else scales
     stats = one.select(F.struct(*one.columns)).scalar()
     out = rows.withColumn("_s", stats)
     columns = {}
@@ -282,9 +284,23 @@ def _assembled(points: DataFrame) -> DataFrame:
 
 def _labelled(points: DataFrame, models: dict) -> DataFrame:
     out = _assembled(points)
+    linked = {key: m for key, m in models.items() if isinstance(m, cells.WardModel)}
     for (algorithm, k), model in models.items():
-        out = model.setPredictionCol(_label_name(algorithm, k)).transform(out)
-    return out.drop("vector")
+        if (algorithm, k) not in linked:
+            out = model.setPredictionCol(_label_name(algorithm, k)).transform(out)
+    out = out.drop("vector")
+    if not linked:
+        return out
+    first = next(iter(linked.values()))  # all cuts of one tree
+    names = {_label_name(*key): F.coalesce(F.get("labels", F.lit(m.index)), _nearest(m.centres))
+             for key, m in linked.items()}
+    return first.tree.at(out, first.table).withColumns(names).drop("path", "labels")
+
+
+def _nearest(centres: Sequence[Sequence[float]]) -> Column:
+    """Number of the closest centre, for rows that a model has no leaf for."""
+    return F.array_min(F.array(*[F.struct(_squared_distance(c, Z).alias("d"), F.lit(i).alias("i"))
+                                 for i, c in enumerate(centres)]))["i"]
 
 
 def fit_kmeans(points: DataFrame, k: int, n_init: int, seed: int, max_iter: int = 300):
@@ -296,16 +312,6 @@ def fit_kmeans(points: DataFrame, k: int, n_init: int, seed: int, max_iter: int
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 
-def fit_hierarchical(points: DataFrame, k: int, seed: int, max_iter: int = 20):
-    """A divisive tree over all rows in place of an agglomerative one on a sample.
-
-    Every split runs all of its iterations, so ``max_iter`` is kept small; two
-    centres settle within a few.
-    """
-    return BisectingKMeans(k=k, featuresCol="vector", weightCol="w",
-                           maxIter=max_iter, seed=seed).fit(points)
-
-
 def sweep(
     features: DataFrame,
     ks: Sequence[int] = range(2, 11),
@@ -314,25 +320,43 @@ def sweep(
     seed: int = 42,
     max_iter: int = 300,
     parallel_fits: int = 8,
+    silhouette_leaves: int = cells.SILHOUETTE_LEAVES,
 ) -> Sweep:
-    """Fit every algorithm and k, and measure all models in shared passes."""
-    scaled = scaled_features(features)
-    points = cut_lineage(weighted_points(scaled))
-    vectors = _assembled(points).persist()
-
-    def fit(job):
-        algorithm, k = job
-        if algorithm == "KMeans":
-            return job, fit_kmeans(vectors, k, n_init, seed, max_iter)
-        return job, fit_hierarchical(vectors, k, seed)
+    """Fit every algorithm and k, and measure all models in shared passes.
 
-    jobs = [(a, k) for k in ks for a in algorithms]
-    try:
-        with ThreadPool(parallel_fits) as pool:
-            models = dict(pool.map(inheritable_thread_target(points.sparkSession)(fit), jobs))
-    finally:
-        vectors.unpersist()
-    return Sweep(scaled, cut_lineage(model_metrics(points, models)), models)
+    The hierarchical models are cuts of one Ward dendrogram over all rows. ``silhouette``
+    is the Euclidean one over all rows, to within ``silhouette_bound``; more
+    ``silhouette_leaves`` make that smaller.
+    """
+    scaled = scaled_features(features, cut_lineage(scaling(features)))
+    points = cut_lineage(weighted_points(scaled))
+    models: dict = {}
+    if "KMeans" in algorithms:
+        vectors = _assembled(points).persist()
+        try:
+            with ThreadPool(parallel_fits) as pool:
+                models.update(pool.map(inheritable_thread_target(points.sparkSession)(
+                    lambda k: (("KMeans", k), fit_kmeans(vectors, k, n_init, seed, max_iter))), ks))
+        finally:
+            vectors.unpersist()
+    if "Hierarchical" in algorithms:
+        models.update({("Hierarchical", k): m for k, m in cells.fit_ward(points, Z, list(ks)).items()})
+    metrics = model_metrics(points, models).drop("silhouette", "silhouette_metric")
+    scores = silhouettes(points, models, silhouette_leaves).withColumn("silhouette_metric", F.lit("euclidean"))
+    return Sweep(scaled, cut_lineage(metrics.join(scores, ["algorithm", "k"])), models)
+
+
+def silhouettes(points: DataFrame, models: dict, leaves: int = cells.SILHOUETTE_LEAVES) -> DataFrame:
+    """Euclidean silhouette of every model over all rows: (algorithm, k, silhouette, silhouette_bound)."""
+    linked = next((m for m in models.values() if isinstance(m, cells.WardModel)), None)
+    tree = cells.cell_tree(points, Z, leaves) if linked is None else cells.coarser(linked.tree, leaves)
+    names = {_label_name(a, k): (a, k) for a, k in models}
+    placed = _labelled(points, models).select(*Z, "w", *[F.col(n).cast("int").alias(n) for n in names])
+    found = cells.euclidean_silhouettes(placed, list(names), Z, tree)
+    key = F.element_at(F.create_map(*[x for n, (a, k) in names.items() for x in (
+        F.lit(n), F.struct(F.lit(a).alias("algorithm"), F.lit(k).alias("k")))]), F.col("label"))
+    return found.select(key.alias("model"), "silhouette", "silhouette_bound").select(
+        "model.*", "silhouette", "silhouette_bound")
 
 
 def _long(points: DataFrame, models: dict) -> DataFrame:
@@ -425,7 +449,7 @@ def elbow_curve(metrics: DataFrame) -> DataFrame:
 
 
 def select_best(
-    metrics: DataFrame, min_pct: float = 3, max_pct: float = 55,
+    metrics: DataFrame, min_pct: float | None = None, max_pct: float | None = None,
     max_k: int = MAX_SELECTABLE_K, tie_margin: float | None = None, strict: bool = False,
 ) -> DataFrame:
     """The model to use (one row) and the rule that picked it.
@@ -433,9 +457,12 @@ def select_best(
     Highest silhouette among models with acceptable segment sizes; failing
     that, few segments with looser sizes; failing that, four segments; failing
     that, the highest silhouette. ``tie_margin`` prefers fewer segments among
-    near-equal scores; ``strict`` also rejects segments with similar dwell or
-    one that earns most of the revenue.
+    near-equal scores; ``strict`` wants segments of 5 to 40 % of the rows (else 3 to 55)
+    and also rejects neighbours with mean dwell within a tenth of each other, or one segment
+    that earns most of the revenue.
     """
+    min_pct = (5 if strict else 3) if min_pct is None else min_pct
+    max_pct = (40 if strict else 55) if max_pct is None else max_pct
     sizes_ok = (F.col("min_pct") >= min_pct) & (F.col("max_pct") <= max_pct)
     if strict:
         sizes_ok = sizes_ok & (F.coalesce("min_dwell_gap", F.lit(1.0)) > 0.10) & (

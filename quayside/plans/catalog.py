@@ -16,12 +16,12 @@ from quayside.functions import bands
 from quayside.functions import visit as V
 from quayside.functions.exact import mean_days, sum_money
 from quayside.operators import (
-    dwell, features, forecast, gate, impact, occupancy, quality, segments,
+    cells, dwell, features, forecast, gate, impact, occupancy, quality, segments,
 )
 from quayside.params import SAMPLE_TARIFF, SAMPLE_YARD, AnalysisParams
 from quayside.schema import MOVEMENT_TYPES
 from quayside.plans.validation import validate
-from quayside.session import scratch_folder
+from quayside.session import cut_lineage, scratch_folder
 from quayside.sources import sinks
 from quayside.sources.configs import block_dimension
 from quayside.sources.order_visits import visits
@@ -696,6 +696,38 @@ def best_clustering(spark, sf_dir):
     return out
 
 
+PROFILE = ["days", "teu", "tens_of_tons"]
+
+
+def cargo_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean dwell, TEU and weight of the closed visits of each block, cargo type and movement, with their number."""
+    closed = feats(spark, sf_dir).where(F.col("dwell_days").isNotNull())
+    return closed.groupBy("yard_block", "container_type", "movement_type").agg(
+        F.round(F.avg("dwell_days"), 6).alias("days"), F.round(F.avg("teu_equivalent"), 6).alias("teu"),
+        F.round(F.avg(F.coalesce("weight_tons", F.lit(0.0))) / 10, 6).alias("tens_of_tons"),
+        F.count(F.lit(1)).alias("w"))
+
+
+@register
+def cargo_group_tree(spark, sf_dir):
+    """Ward linkage over all closed visits, which enter by group: heights and inertia of every cut."""
+    tree = cells.cell_tree(cargo_groups(spark, sf_dir), PROFILE, leaves=4096)
+    heights = cells.ward_heights(tree, range(2, 13))
+    return rounded(heights, 6, "cut_height", "inertia", "leaf_inertia").drop("leaves")
+
+
+@register
+def cargo_group_silhouettes(spark, sf_dir):
+    """Euclidean silhouette of two ways to divide the groups, over all visits: exact, as every group has a leaf."""
+    points = cut_lineage(cargo_groups(spark, sf_dir).select(
+        *PROFILE, "w", (F.col("container_type") == "reefer").cast("int").alias("by_reefer"),
+        F.when(F.col("movement_type") == "import", 0).when(F.col("movement_type") == "export", 1)
+        .otherwise(2).alias("by_movement")))
+    tree = cells.cell_tree(points, PROFILE, leaves=4096)
+    found = cells.euclidean_silhouettes(points, ["by_reefer", "by_movement"], PROFILE, tree)
+    return rounded(found, 6, "silhouette", "silhouette_bound")
+
+
 @register
 def recommendations_by_cost(spark, sf_dir):
     rows = labelled(spark, sf_dir)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +44,29 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_sent: set[str] = set()
+
+
+def send_package(spark: SparkSession) -> None:
+    """Gives this package to the Python workers, once for each application.
+
+    For jobs that were not submitted with it; Spark serves the archive itself.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _sent:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="quayside-code-"), "quayside-core.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("quayside", os.path.relpath(path, root)))
+    context.addPyFile(archive)
+    _sent.add(context.applicationId)
+
+
 _made: list[str] = []
 
 
