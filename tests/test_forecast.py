@@ -101,3 +101,17 @@ def test_breach_date(spark):
 def test_backtest_origins(spark):
     rows = forecast.rolling_backtest(daily(spark, DAILY), every=50).collect()
     assert sorted(r.origin for r in rows) == [28, 78, 128]
+
+
+def test_one_day_and_thirty_days_are_not_lost(spark):
+    days = daily(spark, [7.0], "day").unionByName(daily(spark, DAILY[:30], "month"))
+    series = forecast.split_series(days)
+    for models in (forecast.holt_winters(series), forecast.seasonal_moving_average(series),
+                   forecast.optimised_holt_winters(series, grid=[(0.2, 0.1, 0.1)])):
+        assert {r.series_id for r in models.collect()} == {"day", "month"}
+    flat = forecast.forecast_curve(forecast.holt_winters(series)).where("series_id = 'day'").collect()
+    assert len(flat) == 15 and {r.predicted for r in flat} == {7.0}
+    chosen = forecast.select_model(forecast.holt_winters(series), forecast.seasonal_moving_average(series))
+    assert {r.series_id for r in chosen.collect()} == {"day", "month"}
+    got = forecast.rolling_backtest(days).collect()
+    assert sorted((r.series_id, r.origin, r.mae) for r in got) == [("day", None, None), ("month", None, None)]

@@ -64,3 +64,23 @@ def test_visits_without_container_type(make_visits):
     features = visit_features(make_visits([{}, {}]).drop("container_type"), tariff=SAMPLE_TARIFF)
     assert {r.iso_container_group for r in features.select("iso_container_group").collect()}
     assert occupancy.occupancy_by_type(features).first().container_type == "unknown"
+
+
+def test_infinite_values_are_profiled(spark, tmp_path):
+    lines = [line(i).replace(",10.5,", f",{w},") for i, w in enumerate(["1.5", "inf", "2.5", "Infinity", "NaN", ""] + ["3.0"] * 200)]
+    (tmp_path / "a.csv").write_text("\n".join([HEAD, *lines]) + "\n")
+    checked = validate_files(spark, str(tmp_path))
+    row = quality.numeric_profile(checked.clean, ["weight_tons"]).first()
+    assert (row["count"], row["min"], row["max"], row["median"], row["std"]) == (204, 1.5, float("inf"), 3.0, None)
+    assert checked.report() is not None
+
+
+def test_text_is_parsed_once(spark, tmp_path):
+    """Neither the checks nor the clean rows or profiles go back to the text."""
+    path = write(tmp_path, [[line(i) for i in range(50)]])
+    checked = validate_files(spark, path)
+    frames = [checked.checks, checked.clean, quality.row_checks(checked.visits), quality.duplicate_counts(checked.visits),
+              quality.coverage(checked.clean), quality.numeric_profile(checked.clean), quality.top_values(checked.clean)]
+    for df in frames:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan csv" not in plan and "FileScan parquet" in plan

@@ -69,7 +69,8 @@ def test_segmentation_honours_its_parameters(spark, tmp_path):
     assert costs == sorted(costs, reverse=True)
     terminal.write_segmentation(fixed, str(tmp_path))
     assert spark.read.parquet(f"{tmp_path}/labels").count() == feats.where("dwell_hours is not null").count()
-    assert spark.read.parquet(f"{tmp_path}/models/chosen").first().silhouette_metric == "simplified_euclidean"
+    assert spark.read.parquet(f"{tmp_path}/models/chosen").first().silhouette_metric == "euclidean"
+    assert 0 <= fixed.chosen.first().silhouette_bound < 0.2
     free = terminal.segmentation(feats, AnalysisParams(random_seed=7), ks=(2, 3), n_init=1)
     assert free.chosen.first().k in (2, 3)
     feats.unpersist()

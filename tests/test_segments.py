@@ -148,3 +148,13 @@ def test_sweep_measures_every_model(feats):
         r.nearest and r.falls and r.rows == 200 and r.segments == r.k)] == []
     best = segments.select_best(done.metrics).first()
     assert done.label(best.algorithm, best.k).select("cluster").distinct().count() == best.k
+
+
+def test_strict_sizes_choose_another_model(spark):
+    df = spark.createDataFrame(
+        [model("KMeans", 3, .5, 4, 50), model("KMeans", 4, .4, 6, 39)],
+        "algorithm string, k int, silhouette double, min_pct double, max_pct double, "
+        "min_dwell_gap double, max_revenue_share double")
+    assert segments.select_best(df).first().k == 3
+    row = segments.select_best(df, strict=True).first()
+    assert (row.k, row.rule) == (4, 1)
