@@ -4,9 +4,10 @@ A block is a run of whole texts laid end to end as UTF-8 bytes, as Arrow holds
 them. Everything here works on one block with a fixed number of array passes, so
 its cost and memory follow the bytes of the block, whatever the texts look like.
 
-Hashes are 64 bits wide: a polynomial over random byte values modulo 2**64,
-passed through a final mixer. Users that need certainty across a whole corpus
-compare the texts behind equal hashes.
+Hashes join two polynomials over the bytes modulo the prime 2**31 - 1, at bases drawn
+at random, and the length, passed through a final mixer. (Modulo a power of two, texts made
+of two letters in a certain order have equal sums at every base.) Users that need
+certainty across a whole corpus compare the texts behind equal hashes.
 """
 
 from __future__ import annotations
@@ -22,7 +23,10 @@ BLOCK_BYTES = 1 << 18
 U64 = np.uint64
 _GOLDEN = U64(0x9E3779B97F4A7C15)
 _M1, _M2 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
-_BASE = 0xD6E8FEB86659FD93  # odd, so that it has an inverse modulo 2**64
+PRIME = U64((1 << 31) - 1)
+# Bases of two independent hashes, each of two polynomials.
+_BASES = ((1_482_907_553, 621_304_877), (1_873_264_019, 307_918_661))
+_RUN = 1 << 23  # so many byte values times powers add up below 2**63
 _STEP = U64(0xA0761D6478BD642F)
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -35,23 +39,33 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-BYTE_VALUES = mix((np.arange(256, dtype=U64) + U64(1)) * _GOLDEN)
+BYTE_VALUES = np.arange(1, 257, dtype=U64)
 LOWER_VALUES = BYTE_VALUES.copy()
 LOWER_VALUES[65:91] = BYTE_VALUES[97:123]
 
 
-@lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    def run(base: int) -> np.ndarray:
-        out = np.full(n, base, dtype=U64)
-        out[0] = 1
-        return np.multiply.accumulate(out)
-    return run(_BASE), run(pow(_BASE, -1, 1 << 64))
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Remainders modulo ``PRIME`` of numbers below 2**63."""
+    x = (x & PRIME) + (x >> U64(31))
+    x = (x & PRIME) + (x >> U64(31))
+    x -= PRIME * (x >= PRIME)
+    return x
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse, for at least ``n`` places."""
-    return _powers(1 << max(BLOCK_BYTES.bit_length(), (n + 1).bit_length()))
+@lru_cache(maxsize=8)
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.ones(n, dtype=np.uint32)
+    done = 1
+    while done < n:
+        more = min(done, n - done)
+        out[done:done + more] = _reduced(out[:more].astype(U64) * U64(pow(base, done, int(PRIME))))
+        done += more
+    return out
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """Powers of a base modulo ``PRIME``, for at least ``n`` places."""
+    return _powers(base, 1 << max(BLOCK_BYTES.bit_length(), (n + 1).bit_length()))
 
 
 def text_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -83,18 +97,28 @@ def blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int
         first = end
 
 
-def prefix_hash(data: np.ndarray, values: np.ndarray = BYTE_VALUES) -> np.ndarray:
-    """Running polynomial sums; ``span_hash`` reads any span off them."""
-    out = np.empty(len(data) + 1, dtype=U64)
-    out[0] = 0
-    np.cumsum(values[data] * powers(len(data))[0][:len(data)], out=out[1:])
-    return out
+def prefix_hash(data: np.ndarray, values: np.ndarray = BYTE_VALUES, lane: int = 0) -> tuple[int, np.ndarray]:
+    """Running polynomial sums; ``span_hash`` reads any span off them. ``lane`` 1 is independent of 0."""
+    out = np.zeros((2, len(data) + 1), dtype=U64)
+    for sums, base in zip(out, _BASES[lane]):
+        power = powers(base, len(data))
+        for at in range(0, len(data), _RUN):
+            part = data[at:at + _RUN]
+            run = sums[at + 1:at + 1 + len(part)]
+            np.cumsum(values[part] * power[at:at + len(part)], out=run)
+            run += sums[at] % PRIME
+    return lane, out
 
 
-def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def span_hash(sums: tuple[int, np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of the bytes from ``start`` to ``end`` (exclusive) of the block."""
-    inverse = powers(len(sums))[1]
-    return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(U64) * _GOLDEN)
+    lane, (first, second) = sums
+    joined = (end - start).astype(U64) * _GOLDEN
+    for run, base, shift in ((first, _BASES[lane][0], 31), (second, _BASES[lane][1], 0)):
+        inverse = powers(pow(base, -1, int(PRIME)), run.shape[0])
+        span = _reduced(run[end]) + (PRIME - _reduced(run[start]))
+        joined += _reduced(span * inverse[start]) << U64(shift)
+    return mix(joined)
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
