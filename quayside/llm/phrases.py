@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm import kernel as K
-from quayside.llm.tables import arrow_schema, cut_lineage, documents, free_shuffles
+from quayside.llm.tables import arrow_schema, cut_lineage, discard, documents, free_shuffles
 
 WINDOW, ANCHOR = 13, 5
 NO_ID = -(1 << 63)
@@ -223,16 +223,21 @@ def remove_repeated_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: s
     spots = found.join(recurring, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_list("spot").alias("spots"))
     notes = cut_lineage(named.select("doc_id", "t").join(spots, "doc_id").dropDuplicates(["doc_id", "t"])
                         .join(copies, ["doc_id", "t"], "full"))
+    discard(recurring)
     free_shuffles(docs.sparkSession)
     prepared = cut_lineage(texts.join(notes, ["doc_id", "t"], "left").mapInArrow(_prepare, _PREPARED))
+    discard(notes)
     free_shuffles(docs.sparkSession)
 
     going = prepared.where("text is not null")
     windows = cut_lineage(going.select("doc_id", "t", "text", "spots").mapInArrow(_window_rows, _HASHED))
-    first = windows.groupBy("w").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")) \
-        .where("first < last").select("w", "first")
-    phrases = windows.join(first, "w").where("first < doc_id").groupBy("doc_id", "t").agg(
-        F.collect_list(F.struct("w", "first")).alias("phrases"))
+    first = cut_lineage(windows.groupBy("w").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+                        .where("first < last").select("w", "first"))
+    free_shuffles(docs.sparkSession)
+    phrases = cut_lineage(windows.join(first, "w").where("first < doc_id").groupBy("doc_id", "t").agg(
+        F.collect_list(F.struct("w", "first")).alias("phrases")))
+    discard(windows, first)
+    free_shuffles(docs.sparkSession)
     cut = going.select("doc_id", "t", "text").join(phrases, ["doc_id", "t"], "left") \
         .select("doc_id", "text", "phrases").mapInArrow(_remove, _FOUND)
 

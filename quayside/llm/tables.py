@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 import quayside
 from quayside.session import cut_lineage
 
-__all__ = ["arrow_schema", "cut_lineage", "documents", "free_shuffles", "ship_package", "utf8_sha256"]
+__all__ = ["arrow_schema", "cut_lineage", "discard", "documents", "free_shuffles", "ship_package", "utf8_sha256"]
 
 _shipped: set[str] = set()
 
@@ -56,6 +56,16 @@ def free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def discard(*stages: DataFrame) -> None:
+    """Deletes the files behind stages that ``cut_lineage`` wrote, once their successors are written."""
+    for df in stages:
+        files = df.inputFiles()
+        if files:
+            jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+            folder = jvm.org.apache.hadoop.fs.Path(files[0].rpartition("/")[0])
+            folder.getFileSystem(conf).delete(folder, True)
+
+
 def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Id and text under fixed names, whatever else the table holds; null text is empty."""
     return df.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
