@@ -160,21 +160,54 @@ def _range_minimum(values: np.ndarray):
     return least
 
 
+def _grams(data: np.ndarray, room: int) -> np.ndarray:
+    """The ``STEP`` bytes from each place on as one number."""
+    raw = np.zeros(room, dtype=U64)
+    for k in range(STEP):
+        raw = (raw << U64(8)) | data[k:room + k].astype(U64)
+    return raw
+
+
+def recurring_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the pieces of the passages that can hold a repeated window.
+
+    Every ``STEP`` bytes of a repeated window occur twice in the shard, so windows lie within runs
+    of places with such bytes; elsewhere nothing needs to be inserted.
+    """
+    room = len(data) - STEP + 1
+    if room <= 0:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    _, kind, count = np.unique(_grams(data, room), return_inverse=True, return_counts=True)
+    often = np.concatenate([[False], count[kind] > 1, [False]])
+    last = offsets[1:, None] - np.arange(STEP - 1)  # places whose bytes reach past their passage
+    often[np.clip(last, 0, room + 1)] = False
+    edge = np.diff(often.astype(np.int8))
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) + STEP - 1
+    wide = end - start >= WIDTH
+    return start[wide], end[wide]
+
+
 def repeated_windows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """For each byte of a shard whether the window that starts there starts at a second place too.
 
-    The passages lie end to end with the given offsets. The suffixes are inserted column
-    by column, see above.
+    The passages lie end to end with the given offsets. The suffixes of the pieces that
+    can hold repeated windows are inserted column by column, see above.
     """
+    out = np.zeros(len(data), dtype=bool)
+    start, end = recurring_pieces(data, offsets)
+    if len(start):
+        size = end - start
+        edges = np.concatenate([[0], np.cumsum(size)])
+        place = np.repeat(start - edges[:-1], size) + np.arange(edges[-1])
+        out[place] = _repeated(data[place], edges)
+    return out
+
+
+def _repeated(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     size = len(data)
     out = np.zeros(size, dtype=bool)
     room = size - STEP + 1
-    if room <= 0:
-        return out
-    raw = np.zeros(room, dtype=U64)
-    for k in range(STEP):
-        raw = (raw << U64(8)) | data[k:room + k].astype(U64)
-    _, symbol = np.unique(raw, return_inverse=True)
+    _, symbol = np.unique(_grams(data, room), return_inverse=True)
     symbol = symbol.astype(np.int64) * (size + 2)
 
     # One chain of symbols for each passage and offset: its last suffix and its length.
@@ -250,7 +283,7 @@ def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     schema = arrow_schema("anchor bigint, content bigint, at int, a bigint, b bigint")
     for batch in batches:
         for row, end_row, data, offsets in K.blocks(batch.column("bytes").cast(pa.large_binary()).view(pa.large_string())):
-            sums, more = K.prefix_hash(data), K.prefix_hash(data, K.mix(K.BYTE_VALUES))
+            sums, more = K.prefix_hash(data), K.prefix_hash(data, lane=1)
             place = np.arange(len(data))
             owner = np.searchsorted(offsets, place, side="right") - 1
             place = place[place + WIDTH <= offsets[owner + 1]]
