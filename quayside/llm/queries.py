@@ -53,8 +53,7 @@ def op2_line_first_cleaning(spark, sf_dir):
 @register
 def op3_distinct_chunk_table(spark, sf_dir):
     model = tokenizer_file("piece_bpe_32k.model")
-    encoded = sentencepiece_codec.encode(read(spark, sf_dir, "documents"), model)
-    return sentencepiece_codec.decode(encoded, model).select(
+    return sentencepiece_codec.encode_and_decode(read(spark, sf_dir, "documents"), model).select(
         "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), utf8_sha256(F.col("text")).alias("decoded_sha256"))
 
