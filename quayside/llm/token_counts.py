@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.tables import documents
+from quayside.llm.tables import cut_lineage, documents
 
 BLOCK = 256
 
@@ -57,7 +57,7 @@ def length_histogram(lengths: DataFrame, length_col: str = "n_tokens") -> DataFr
     ``docs_to`` of this length or less, and ``truncated_total``: all tokens when each
     text is cut to L.
     """
-    counts = lengths.groupBy(F.col(length_col).alias("n_tokens")).agg(F.count(F.lit(1)).alias("docs"))
+    counts = cut_lineage(lengths.groupBy(F.col(length_col).alias("n_tokens")).agg(F.count(F.lit(1)).alias("docs")))
     counts = counts.withColumns({"block": F.expr(f"n_tokens div {BLOCK}"),
                                  "tokens": F.col("n_tokens") * F.col("docs")})
     blocks = counts.groupBy("block").agg(F.sum("docs").alias("d"), F.sum("tokens").alias("t"))
@@ -81,7 +81,8 @@ def length_histogram(lengths: DataFrame, length_col: str = "n_tokens") -> DataFr
 
 def context_report(histogram: DataFrame, limits: Sequence[int]) -> DataFrame:
     """For each limit: texts longer than it, tokens kept by cutting to it, and all tokens."""
-    asked = histogram.sparkSession.createDataFrame([(int(x),) for x in sorted(set(limits))], "context bigint")
+    limits = sorted({int(x) for x in limits})
+    asked = histogram.sparkSession.createDataFrame([(x,) for x in limits], "context bigint")
     totals = [F.sum(F.when(F.col("n_tokens") > x, F.col("docs")).otherwise(0)).alias(f"o{x}") for x in limits]
     kept = [F.sum(F.least(F.col("n_tokens"), F.lit(x)) * F.col("docs")).alias(f"k{x}") for x in limits]
     row = histogram.agg(F.coalesce(F.sum(F.col("n_tokens") * F.col("docs")), F.lit(0)).alias("total"), *totals, *kept)
