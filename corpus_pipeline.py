@@ -47,10 +47,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document and the digest of their decoded text."""
     model = tokenizer_file("piece_bpe_32k.model")
-    coded = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, model), model)
-    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
-                        F.sha2("ids", 256).alias("ids_sha256"),
-                        utf8_sha256(F.col("text")).alias("decoded_sha256"))
+    return sentencepiece_codec.encode_and_decode(docs, model).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), utf8_sha256(F.col("text")).alias("decoded_sha256"))
 
 
 STAGES = [
