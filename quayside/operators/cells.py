@@ -107,8 +107,8 @@ def inertia(columns: Sequence[str]) -> Column:
     return F.when(single, 0.0).otherwise(F.greatest(F.col("ss") - spread, F.lit(0.0)))
 
 
-def _limit(cells: DataFrame, leaves: int) -> float:
-    """The smallest limit on a leaf's inertia that leaves at most ``leaves`` leaves.
+def _limit(cells: DataFrame, leaves: int, least: float = 0.0) -> float:
+    """The smallest limit on a leaf's inertia, from ``least`` on, that leaves at most ``leaves`` leaves.
 
     A cell is a leaf for limits from its own inertia up to that of the cell above it. Cells that
     were not opened count as one leaf below their inertia too, which is too few at most. The
@@ -120,7 +120,7 @@ def _limit(cells: DataFrame, leaves: int) -> float:
         F.struct(F.col("above").alias("limit"), F.lit(-1).alias("change")))))
     counted = steps.groupBy("limit").agg(F.sum("change").alias("change")) \
         .withColumn("count", F.sum("change").over(Window.orderBy("limit")))
-    return counted.where(F.col("count") <= leaves).agg(F.min("limit")).first()[0]
+    return counted.where((F.col("count") <= leaves) & (F.col("limit") >= least)).agg(F.min("limit")).first()[0]
 
 
 def cell_tree(points: DataFrame, columns: Sequence[str], leaves: int = LEAVES) -> CellTree | None:
@@ -150,7 +150,7 @@ def cell_tree(points: DataFrame, columns: Sequence[str], leaves: int = LEAVES) -
         if opened.isEmpty():
             break
         cells = cut_lineage(_opened(rows, cells, opened, columns, level).where(F.col("above") > limit))
-        limit = _limit(cells, leaves)
+        limit = _limit(cells, leaves, limit)  # below the old one, cells are missing by now
     return _cut(columns, box, cells, limit)
 
 
@@ -180,7 +180,7 @@ def _cut(columns, box, cells: DataFrame, limit: float) -> CellTree:
 
 def coarser(tree: CellTree, leaves: int) -> CellTree:
     """The same tree with fewer leaves."""
-    return _cut(tree.columns, tree.box, tree.cells, max(tree.limit, _limit(tree.cells, leaves)))
+    return _cut(tree.columns, tree.box, tree.cells, _limit(tree.cells, leaves, tree.limit))
 
 
 # --- Ward linkage ---------------------------------------------------------------

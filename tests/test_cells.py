@@ -153,3 +153,14 @@ def test_no_rows_one_point_and_equal_points(spark):
     assert cells.ward_heights(tree, [2]).count() == 0
     models = cells.fit_ward(same.dropna(), COLUMNS, [3])
     assert np.array(models[3].centres) == pytest.approx(np.array([[0.1, 0.2, 0.3]]))
+
+
+def test_many_points_all_have_a_leaf(spark):
+    rng = np.random.default_rng(13)
+    x = np.round(rng.normal(size=(1500, 3)), 2)
+    points = frame(spark, x, rng.integers(1, 4, size=1500))
+    tree = cells.cell_tree(points, COLUMNS, 40)
+    found = tree.leaves.toPandas()
+    assert 20 <= len(found) <= 40 and found.points.sum() == 1500
+    assert found.n.sum() == points.agg(F.sum("w")).first()[0]
+    assert tree.at(points, tree.leaves.select("path")).where("path is null").count() == 0
