@@ -713,6 +713,9 @@ select count(*) filter (where isinf(dwell_hours)) + count(*) filter (where isinf
 
     "block_day_utilization": sql(FEATS + "," + BLOCK_DAY, "select * from block_day"),
     "occupancy_expansion": sql(FEATS + "," + GRID, """
+select yard_block, date, container_count, cast(teu_occupied as bigint) as teu_occupied,
+ cast(overstay_teu as bigint) as overstay_teu, reefer_count from occ"""),
+    "maintained_block_days": sql(FEATS + "," + GRID, """
 select yard_block, date, container_count, cast(teu_occupied as bigint) as teu_occupied,
  cast(overstay_teu as bigint) as overstay_teu, reefer_count from occ"""),
     "type_mix_long": sql(FEATS + "," + GRID, """

@@ -78,24 +78,33 @@ def _dense(sparse: DataFrame, bounds: DataFrame) -> DataFrame:
     )
 
 
-def _by_changes(features: DataFrame) -> DataFrame:
-    """Dense (block, type, day) occupancy from entry and exit changes, in one scan.
+def visit_changes(features: DataFrame) -> DataFrame:
+    """Net changes per (block, type, day), and the number of entries on that day.
 
-    The calendar comes from the aggregated changes: its ends are the first and the
-    last day with an entry. Visits without a block count for it, and for nothing else.
+    Weights are added on the day of entry and taken off on the day after exit; what
+    leaves after the calendar ends is kept. Fractional TEU are sums of doubles.
     """
     change = F.explode(F.array(
         F.struct(F.col("first_day").alias("date"), F.lit(1).alias("sign")),
         F.struct(F.date_add("last_day", 1).alias("date"), F.lit(-1).alias("sign")),
     ))
-    changes = (
+    return (
         _stays(features, without_block=True).select("*", change.alias("c"))
         .where(F.col("c.date").isNotNull())
         .groupBy("yard_block", "container_type", F.col("c.date").alias("date"))
         .agg(*[F.sum(F.col(m) * F.col("c.sign")).alias(m) for m in MEASURES],
-             F.max("c.sign").alias("sign"))
+             F.count_if(F.col("c.sign") == 1).alias("entries"))
     )
-    entry = F.when(F.col("sign") == 1, F.col("date"))
+
+
+def _by_changes(features: DataFrame) -> DataFrame:
+    """Dense (block, type, day) occupancy from entry and exit changes, in one scan.
+
+    The calendar comes from the aggregated changes: its ends are the first and the
+    last day with an entry. Visits without a block count for it, and for nothing else.
+    """
+    changes = visit_changes(features)
+    entry = F.when(F.col("entries") > 0, F.col("date"))
     groups = changes.groupBy("yard_block", "container_type").agg(
         F.collect_list(F.struct("date", *MEASURES)).alias("days"),
         F.min(entry).alias("lo"), F.max(entry).alias("hi"))

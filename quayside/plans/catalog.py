@@ -16,7 +16,7 @@ from quayside.functions import bands
 from quayside.functions import visit as V
 from quayside.functions.exact import mean_days, sum_money
 from quayside.operators import (
-    cells, dwell, features, forecast, gate, impact, occupancy, quality, segments,
+    cells, change_log, dwell, features, forecast, gate, impact, occupancy, quality, segments,
 )
 from quayside.params import SAMPLE_TARIFF, SAMPLE_YARD, AnalysisParams
 from quayside.schema import MOVEMENT_TYPES
@@ -171,6 +171,28 @@ def occupancy_expansion(spark, sf_dir):
         "yard_block", "date", "container_count", "teu_occupied", "overstay_teu", "reefer_count")
 
 
+@register
+def maintained_block_days(spark, sf_dir):
+    """Occupancy after late exits, corrected blocks and sizes and deleted visits, from stored changes."""
+    final = cut_lineage(feats(spark, sf_dir))
+    part = lambda i: F.split_part("visit_id", F.lit("-"), F.lit(i)).cast("bigint")
+    late, moved, ghost = part(3) % 9 == 0, part(1) % 11 == 0, part(4) % 13 == 0
+    first = final.withColumns({
+        "gate_out_time": F.when(~late, F.col("gate_out_time")),
+        "is_overstay": F.when(late, 0).otherwise(F.col("is_overstay")),
+        "yard_block": F.when(moved, "Z99").otherwise(F.col("yard_block")),
+        "teu_equivalent": F.when(moved, 3 - F.col("teu_equivalent")).otherwise(F.col("teu_equivalent"))})
+    ghosts = final.where(ghost).withColumn("visit_id", F.concat("visit_id", F.lit("/ghost")))
+    stored = cut_lineage(first.unionByName(ghosts))
+    path = scratch_folder(spark, "changes")
+    change_log.append_changes(change_log.net_changes(occupancy.visit_changes(stored)), path, 0)
+    delta = change_log.edit_changes(stored, final.where(late | moved), ghosts)
+    change_log.append_changes(delta, path, 1)
+    by_type = change_log.occupancy_of_changes(change_log.read_changes(spark, path))
+    return occupancy.block_occupancy(by_type).select(
+        "yard_block", "date", "container_count", "teu_occupied", "overstay_teu", "reefer_count")
+
+
 @register
 def type_mix_long(spark, sf_dir):
     return occupancy.type_mix(occupancy.occupancy_by_type(feats(spark, sf_dir)))
