@@ -127,8 +127,13 @@ class _Checks:
         n = self.count(f"{check}__{column}", condition)
         self.row(check, column, "rows", n, _level(n > 0, level))
 
+    def counted(self, df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+        return df.groupBy(*keys).agg(*[c.alias(n) for n, c in self.counters.items()])
+
     def table(self, df: DataFrame) -> DataFrame:
-        counted = df.agg(*[c.alias(n) for n, c in self.counters.items()])
+        return self.checks(self.counted(df))
+
+    def checks(self, counted: DataFrame) -> DataFrame:
         return counted.select(F.inline(F.array(*[
             F.struct(F.lit(check).alias("check"), level.alias("level"),
                      F.lit(column).alias("column"), F.lit(metric).alias("metric"),
@@ -160,6 +165,11 @@ def schema_checks(spark, columns: Sequence[str]) -> DataFrame:
 
 def row_checks(visits: DataFrame, as_of: str | None = None) -> DataFrame:
     """Every rule that can be judged on a single row, from one pass."""
+    return row_rules(visits, as_of).table(visits)
+
+
+def row_rules(visits: DataFrame, as_of: str | None = None) -> _Checks:
+    """Counters of the rules on single rows, all of which add up over parts of the visits."""
     c, present = _Checks(), set(visits.columns)
     total = F.col("total_rows")
     c.row("total_rows", "*", "rows", total, F.lit("ok"))
@@ -203,7 +213,7 @@ def row_checks(visits: DataFrame, as_of: str | None = None) -> DataFrame:
         c.flag("future", column, is_future(column, as_of))
     c.flag("overweight", "weight_tons", F.col("weight_tons") > HEAVY_TONS)
     c.flag("underweight", "weight_tons", F.col("weight_tons") < LIGHT_TONS)
-    return c.table(visits)
+    return c
 
 
 def duplicate_checks(visits: DataFrame) -> DataFrame:
