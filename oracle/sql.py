@@ -908,6 +908,8 @@ select yard_block, date, round(h, 6) as avg_stack_height, retrievals, round(retr
     "row_checks": sql(FAULTY + ",\n" + _row_check_parts(), "select * from result"),
     "duplicate_checks": sql(FAULTY + "," + DUPLICATES, "select * from dup_rows"),
     "clean_visits": sql(FAULTY, """
+select visit_id, container_id, gate_in_time, gate_out_time, weight_tons from clean"""),
+    "clean_visits_stream": sql(FAULTY, """
 select visit_id, container_id, gate_in_time, gate_out_time, weight_tons from clean"""),
     "excluded_visits": sql(FAULTY, """
 select visit_id, cast(is_reversed as int) as is_reversed, cast(is_future_in as int) as is_future_in,
@@ -925,6 +927,17 @@ select "column", cast(sum(rows) as bigint) as "count", count(*) as "unique" from
     "top_values": sql(VISITS + ",\n" + VALUE_COUNTS, """
 select * from (select "column", value, rows, cast(row_number() over (
  partition by "column" order by rows desc, value) as int) as rank from value_counts) where rank <= 10"""),
+    "merged_numeric_profile": sql(VISITS, " union all ".join(
+        f"select '{c}' as \"column\", count(*) as rows, count(*) - count({c}) as nulls, count({c}) as \"count\", "
+        f"round(cast(min({c}) as double), 6) as min, round(cast(max({c}) as double), 6) as max, "
+        f"round(avg({c}), 6) as mean, round(stddev_samp({c}), 6) as std, round(skewness({c}), 6) as skewness, "
+        f"1 as median_is_close from visits" for c in NUMERIC)),
+    "merged_text_profile": sql(VISITS + ",\n" + VALUE_COUNTS, """
+select "column", (select count(*) from visits) as rows, (select count(*) from visits) - n as nulls, n as "count",
+ 1 as unique_is_close, rank, value, rows as value_rows from (
+ select "column", value, rows, cast(sum(rows) over (partition by "column") as bigint) as n, cast(row_number() over (
+  partition by "column" order by rows desc, value) as int) as rank from value_counts) where rank <= 10"""),
+    "merged_row_checks": sql(FAULTY + ",\n" + _row_check_parts(), "select * from result"),
     "coverage": sql(FAULTY, COVERAGE + " from clean"),
     "minimum_checks": sql(VISITS + "," + minimum_rows("visits"), "select * from min_rows"),
     "documented_checks": sql(FAULTY + """,

@@ -16,17 +16,18 @@ from quayside.functions import bands
 from quayside.functions import visit as V
 from quayside.functions.exact import mean_days, sum_money
 from quayside.operators import (
-    cells, change_log, dwell, features, forecast, gate, impact, occupancy, quality, segments,
+    cells, change_log, dwell, features, forecast, gate, impact, occupancy, profiles, quality,
+    segments,
 )
 from quayside.params import SAMPLE_TARIFF, SAMPLE_YARD, AnalysisParams
-from quayside.schema import MOVEMENT_TYPES
+from quayside.schema import MOVEMENT_TYPES, NUMERIC_PROFILE_COLUMNS
 from quayside.plans.validation import validate
 from quayside.session import cut_lineage, scratch_folder
 from quayside.sources import sinks
 from quayside.sources.configs import block_dimension
 from quayside.sources.order_visits import visits
 from quayside.sources.visits import load_visits
-from quayside.streaming import gate_counts
+from quayside.streaming import first_visits, gate_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -467,6 +468,19 @@ def clean_visits(spark, sf_dir):
         "visit_id", "container_id", "gate_in_time", "gate_out_time", "weight_tons")
 
 
+@register
+def clean_visits_stream(spark, sf_dir):
+    """The same from a stream: the files that are there, then what the stream still holds at its end."""
+    source, out, state = (scratch_folder(spark, name) for name in ("visit-files", "first-visits", "stream"))
+    faulty(spark, sf_dir).write.parquet(source)
+    whole = spark.read.parquet(source)
+    stream = spark.readStream.schema(whole.schema).parquet(source)
+    first_visits.write_first_visits(stream, out, state).awaitTermination()
+    written = spark.read.schema(whole.schema).parquet(out)
+    return first_visits.clean_visits(written, whole, AS_OF).select(
+        "visit_id", "container_id", "gate_in_time", "gate_out_time", "weight_tons")
+
+
 @register
 def excluded_visits(spark, sf_dir):
     return quality.excluded_visits(faulty(spark, sf_dir), AS_OF).select(
@@ -493,6 +507,55 @@ def top_values(spark, sf_dir):
     return quality.top_values(visits(spark, sf_dir))
 
 
+def _daily_states(spark, sf_dir, make, data=visits):
+    """States per day of the given kind, stored and read back; odd days first lack rows and are replaced."""
+    path = scratch_folder(spark, "states")
+    dated = cut_lineage(data(spark, sf_dir).withColumn("day", F.to_date("gate_in_time")))
+    odd = F.coalesce(F.day("day") % 2 == 1, F.lit(True))
+    profiles.write_states(make(dated.where(~odd | F.col("yard_block").isin("A01", "E01"))), path, 0)
+    profiles.write_states(make(dated.where(odd)), path, 1)
+    return profiles.read_states(spark, path)
+
+
+@register
+def merged_numeric_profile(spark, sf_dir):
+    """Daily states merged to months and then to one profile; the sketched median is held against the rows."""
+    daily = _daily_states(spark, sf_dir, lambda v: profiles.numeric_states(v, ["day"]))
+    months = profiles.merge_numeric(daily.withColumn("month", F.date_format("day", "yyyy-MM")), ["month"])
+    found = cut_lineage(profiles.numeric_profile(profiles.merge_numeric(months)))
+    values = visits(spark, sf_dir).select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
+        for c in NUMERIC_PROFILE_COLUMNS])))
+    ranks = (values.where("value is not null").join(found.select("column", "median"), "column").groupBy("column").agg(
+        F.avg((F.col("value") < F.col("median")).cast("int")).alias("below"),
+        F.avg((F.col("value") <= F.col("median")).cast("int")).alias("up_to")))
+    slack = 2 * F.col("rank_error")
+    close = (F.col("below") <= 0.5 + slack) & (F.col("up_to") >= 0.5 - slack)
+    return rounded(found.join(ranks, "column").withColumn("median_is_close", close.cast("int")).select(
+        "column", "rows", "nulls", "count", "min", "max", "mean", "std", "skewness", "median_is_close"),
+        6, "min", "max", "mean", "std", "skewness")
+
+
+@register
+def merged_text_profile(spark, sf_dir):
+    """Daily states of text columns, merged: counts, most frequent values, distinct values within four errors."""
+    daily = _daily_states(spark, sf_dir, lambda v: profiles.text_states(v, ["day"]))
+    merged = cut_lineage(profiles.merge_text(daily))
+    exact = quality.categorical_profile(visits(spark, sf_dir)).select("column", F.col("unique").alias("exact"))
+    off = F.abs(F.col("unique") - F.col("exact")) <= 4 * F.col("unique_error") * F.col("exact")
+    whole = profiles.text_profile(merged).join(exact, "column").select(
+        "column", "rows", "nulls", "count", off.cast("int").alias("unique_is_close"))
+    top = profiles.top_values(merged).select("column", "rank", "value", F.col("rows").alias("value_rows"))
+    return whole.join(top, "column")
+
+
+@register
+def merged_row_checks(spark, sf_dir):
+    """The row rules from counters that were stored by day."""
+    daily = _daily_states(spark, sf_dir, lambda v: profiles.check_states(v, ["day"], AS_OF), faulty)
+    return rounded(profiles.row_checks(daily, faulty(spark, sf_dir), AS_OF), 6, "value")
+
+
 @register
 def coverage(spark, sf_dir):
     return quality.coverage(quality.clean_visits(faulty(spark, sf_dir), AS_OF))

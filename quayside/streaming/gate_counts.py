@@ -16,7 +16,7 @@ def hourly_counts(events: DataFrame, late: str = "2 hours", time: str = "ts", *k
     Hours are those of UTC (of the plain time, if it has no zone), whatever the
     zone of the session.
     """
-    stamped = events.withColumn("_ts", _instant(F.col(time), dict(events.dtypes)[time]))
+    stamped = events.withColumn("_ts", instant(F.col(time), dict(events.dtypes)[time]))
     if events.isStreaming:
         stamped = stamped.withWatermark("_ts", late)
     return (
@@ -28,7 +28,7 @@ def hourly_counts(events: DataFrame, late: str = "2 hours", time: str = "ts", *k
     )
 
 
-def _instant(time: Column, kind: str) -> Column:
+def instant(time: Column, kind: str) -> Column:
     """A timestamp; a time without a zone is read as UTC, not in the session's zone."""
     if kind != "timestamp_ntz":
         return time
