@@ -1060,6 +1060,10 @@ from named"""),
         for m in ["mean_dwell_days", "mean_teu", "mean_storage_cost", "count"])),
     "segment_revenue": sql(LABELLED, f"""
 select cluster, count(*) as visits, {MONEY} as revenue from labelled group by cluster"""),
+    "window_segments_stored": sql(LABELLED, f"""
+select l.cluster, count(*) as visits, {MONEY} as revenue
+from feats f left join (select visit_id, cluster from labelled) l using (visit_id)
+where cast(gate_in_time as date) between date '1998-01-01' and date '1998-06-30' group by l.cluster"""),
     "segment_revenue_by_container": sql(LABELLED, """
 select l.cluster, count(*) as visits, cast(coalesce(sum(f.cents), 0) as double) / 100e0 as revenue
 from feats f join labelled l using (container_id) group by l.cluster"""),

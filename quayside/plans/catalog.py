@@ -7,6 +7,7 @@ and ratios of those are left as they are.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from quayside.params import SAMPLE_TARIFF, SAMPLE_YARD, AnalysisParams
 from quayside.schema import MOVEMENT_TYPES, NUMERIC_PROFILE_COLUMNS
 from quayside.plans.validation import validate
 from quayside.session import cut_lineage, scratch_folder
-from quayside.sources import sinks
+from quayside.sources import joinable, sinks
 from quayside.sources.configs import block_dimension
 from quayside.sources.order_visits import visits
 from quayside.sources.visits import load_visits
@@ -725,6 +726,20 @@ def segment_revenue(spark, sf_dir):
     return segments.revenue_by_segment(segments.join_labels(f, labels))
 
 
+@register
+def window_segments_stored(spark, sf_dir):
+    """Revenue by segment of half a year, from visits and labels that are stored by visit."""
+    run = uuid.uuid4().hex
+    names = [f"quayside_{kind}_{run}" for kind in ("visits", "labels")]
+    paths = [scratch_folder(spark, kind) for kind in ("visits", "labels")]
+    found = labelled(spark, sf_dir).select("visit_id", "cluster")
+    joinable.write_joinable(feats(spark, sf_dir), names[0], paths[0], 8)
+    joinable.write_joinable(found, names[1], paths[1], 8, by_month=False)
+    half = joinable.read_window(spark, names[0], WINDOW.analysis_date_start, WINDOW.analysis_date_end)
+    return joinable.with_labels(half, spark.table(names[1])).groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("visits"), sum_money(F.col("storage_cost_usd")).alias("revenue"))
+
+
 @register
 def segment_revenue_by_container(spark, sf_dir):
     return segments.revenue_by_container_segment(feats(spark, sf_dir), labelled(spark, sf_dir))
