@@ -696,6 +696,9 @@ select iso_type_code, is_high_cube, iso_container_group,
     "teu_by_size": sql(VISITS, """
 select size_ft, sum(case size_ft when 20 then 1e0 when 45 then 2.25e0 else 2e0 end) as teu from visits group by all"""),
     "tiered_cost": sql(FEATS, f"""
+select movement_type, container_type, count(cents) as charged, {MONEY} as revenue,
+ max(storage_cost_usd) as highest from feats group by all"""),
+    "tiered_cost_stored_tariff": sql(FEATS, f"""
 select movement_type, container_type, count(cents) as charged, {MONEY} as revenue,
  max(storage_cost_usd) as highest from feats group by all"""),
     "open_visit_age": sql(VISITS, f"""
@@ -712,6 +715,7 @@ select count(*) filter (where isinf(dwell_hours)) + count(*) filter (where isinf
  count(*) filter (where teu_equivalent is null) as missing_teu_equivalent from feats"""),
 
     "block_day_utilization": sql(FEATS + "," + BLOCK_DAY, "select * from block_day"),
+    "utilization_stored_yard": sql(FEATS + "," + BLOCK_DAY, "select * from block_day"),
     "occupancy_expansion": sql(FEATS + "," + GRID, """
 select yard_block, date, container_count, cast(teu_occupied as bigint) as teu_occupied,
  cast(overstay_teu as bigint) as overstay_teu, reefer_count from occ"""),
@@ -959,6 +963,8 @@ union all select 'iso_mismatch', case when wrong_type > 0 then 'info' else 'ok'
 select count(*) filter (where level = 'error') as errors, count(*) filter (where level = 'warning') as warnings,
  case when count(*) filter (where level = 'error') > 0 then 'FAIL'
   when count(*) filter (where level = 'warning') > 0 then 'WARN' else 'PASS' end as status from all_checks"""),
+    "stored_quality_table": sql(ALL_CHECKS, """
+select "check", level, "column", metric, round(value, 6) as value from all_checks"""),
     "quality_score": sql(ALL_CHECKS, """
 select round(avg(cast(level in ('ok', 'info') as int)) * 100, 6) as quality_score_pct from all_checks"""),
     "report_shares": sql(FAULTY, """

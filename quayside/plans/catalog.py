@@ -22,9 +22,9 @@ from quayside.operators import (
 )
 from quayside.params import SAMPLE_TARIFF, SAMPLE_YARD, AnalysisParams
 from quayside.schema import MOVEMENT_TYPES, NUMERIC_PROFILE_COLUMNS
-from quayside.plans.validation import validate
+from quayside.plans.validation import Validation, validate
 from quayside.session import cut_lineage, scratch_folder
-from quayside.sources import joinable, sinks
+from quayside.sources import configs, joinable, sinks
 from quayside.sources.configs import block_dimension
 from quayside.sources.order_visits import visits
 from quayside.sources.visits import load_visits
@@ -143,6 +143,18 @@ def tiered_cost(spark, sf_dir):
         F.max("storage_cost_usd").alias("highest"))
 
 
+@register
+def tiered_cost_stored_tariff(spark, sf_dir):
+    """The charges of all visits by a tariff that was written to a file and read back."""
+    path = scratch_folder(spark, "tariff")
+    configs.write_tariff(spark, SAMPLE_TARIFF, path)
+    f = features.visit_features(visits(spark, sf_dir), AnalysisParams(), configs.read_tariff(spark, path))
+    return f.groupBy("movement_type", "container_type").agg(
+        F.count("storage_cost_usd").alias("charged"),
+        sum_money(F.col("storage_cost_usd")).alias("revenue"),
+        F.max("storage_cost_usd").alias("highest"))
+
+
 @register
 def open_visit_age(spark, sf_dir):
     return features.open_visit_age(visits(spark, sf_dir), AS_OF).select("visit_id", "age_days")
@@ -173,6 +185,16 @@ def occupancy_expansion(spark, sf_dir):
         "yard_block", "date", "container_count", "teu_occupied", "overstay_teu", "reefer_count")
 
 
+@register
+def utilization_stored_yard(spark, sf_dir):
+    """Utilisation by a yard that was written to a file, read back, and its blocks scanned from it."""
+    first, second = (scratch_folder(spark, "yard") for _ in range(2))
+    configs.write_yard(spark, SAMPLE_YARD, first)
+    configs.write_yard(spark, configs.read_yard(spark, first), second)
+    blocks = configs.scan_yard(spark, second)
+    return occupancy.block_day_features(feats(spark, sf_dir), blocks, rounded=False).drop("type_mix")
+
+
 @register
 def maintained_block_days(spark, sf_dir):
     """Occupancy after late exits, corrected blocks and sizes and deleted visits, from stored changes."""
@@ -577,6 +599,15 @@ def quality_status(spark, sf_dir):
     return quality.status(quality.quality_checks(faulty(spark, sf_dir), AS_OF))
 
 
+@register
+def stored_quality_table(spark, sf_dir):
+    """All checks of the faulty visits through the file they are reported in."""
+    path, data = scratch_folder(spark, "quality"), faulty(spark, sf_dir)
+    checks = quality.quality_checks(data, AS_OF)
+    sinks.write_quality_table(Validation(checks, None, data, {}), path)
+    return rounded(spark.read.schema(quality.CHECK_SCHEMA).json(path), 6, "value")
+
+
 @register
 def quality_score(spark, sf_dir):
     checks = quality.quality_checks(faulty(spark, sf_dir), AS_OF)

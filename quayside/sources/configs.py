@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import asdict
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,6 +79,22 @@ def read_tariff(spark: SparkSession, path: str) -> TariffConfig:
     )
 
 
+def _write_document(spark: SparkSession, document: dict, path: str) -> None:
+    """One JSON document, written through Spark to any file system; replaces what is there."""
+    text = json.dumps(document, ensure_ascii=False)
+    spark.range(1).select(F.lit(text).alias("value")).write.mode("overwrite").text(path)
+
+
+def write_yard(spark: SparkSession, yard: YardConfig, path: str) -> None:
+    """The yard as a document that ``read_yard`` reads back as it is."""
+    _write_document(spark, asdict(yard), path)
+
+
+def write_tariff(spark: SparkSession, tariff: TariffConfig, path: str) -> None:
+    """The tariff as a document that ``read_tariff`` reads back as it is."""
+    _write_document(spark, asdict(tariff), path)
+
+
 def block_dimension(spark: SparkSession, yard: YardConfig | None) -> DataFrame:
     """The blocks of a yard as a DataFrame.
 

@@ -3,8 +3,9 @@ from datetime import timedelta
 import pytest
 
 from quayside.operators import features
-from quayside.params import SAMPLE_TARIFF, AnalysisParams, Block, YardConfig
+from quayside.params import SAMPLE_TARIFF, SAMPLE_YARD, AnalysisParams, Block, TariffConfig, YardConfig
 from quayside.plans import terminal
+from quayside.sources import configs
 from tests.conftest import ts
 
 START = ts("2025-01-01 06:00:00")
@@ -45,3 +46,13 @@ def test_reefer_terminal_with_plugs_and_forecast(spark, stays):
     first, second, best = terminal.forecasts(tables, params, optimise=False)
     assert best.first().model in {"HoltWinters_Additive", "SeasonalMovingAverage"}
     assert len(first.first().forecast) == 11 + 7  # 51 days: 40 to train, 11 to test
+
+
+def test_configurations_round_trip(spark, tmp_path):
+    for i, yard in enumerate([SAMPLE_YARD, YardConfig(), YardConfig((Block("Ä 1"),), "Hafen \"Süd\"")]):
+        configs.write_yard(spark, yard, f"{tmp_path}/yard{i}")
+        configs.write_yard(spark, yard, f"{tmp_path}/yard{i}")
+        assert configs.read_yard(spark, f"{tmp_path}/yard{i}") == yard
+    for i, tariff in enumerate([SAMPLE_TARIFF, TariffConfig()]):
+        configs.write_tariff(spark, tariff, f"{tmp_path}/tariff{i}")
+        assert configs.read_tariff(spark, f"{tmp_path}/tariff{i}") == tariff
