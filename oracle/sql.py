@@ -510,6 +510,29 @@ optimised as (
   level + h * trend + seasonal[(n + h - 1) % 7 + 1]
  from (select *, unnest(generate_series(1, m + 14)) as h from best))"""
 
+def refined(rounds: int) -> str:
+    """Compass search from the best trial: six tries a round, halving the step where none is lower."""
+    parts = [""",
+at_0 as materialized (select series_id, n, train, a, b, g, sse, sse as grid_sse, 0 as h from best)"""]
+    for r in range(1, rounds + 1):
+        step = "0.1e0 * pow(0.5e0, h)"
+        parts.append(f""",
+tries_{r} as materialized (
+ select row_number() over () as id, series_id, n, train, least(greatest(a + da * {step}, 0e0), 1e0) as a,
+  least(greatest(b + db * {step}, 0e0), 1e0) as b, least(greatest(g + dg * {step}, 0e0), 1e0) as g
+ from at_{r - 1}, (values (1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)) d(da, db, dg))"""
+                     + smoothing(f"tries_{r}", f"folds_{r}") + f""",
+found_{r} as materialized (
+ select p.series_id, p.a, p.b, p.g, f.sse from tries_{r} p join folds_{r} f on f.id = p.id and f.t = p.n - 1
+ qualify row_number() over (partition by p.series_id order by f.sse, p.a, p.b, p.g) = 1),
+at_{r} as materialized (
+ select l.series_id, l.n, l.train, case when f.sse < l.sse then f.a else l.a end as a,
+  case when f.sse < l.sse then f.b else l.b end as b, case when f.sse < l.sse then f.g else l.g end as g,
+  least(f.sse, l.sse) as sse, l.grid_sse, l.h + case when f.sse < l.sse then 0 else 1 end as h
+ from at_{r - 1} l join found_{r} f using (series_id))""")
+    return "".join(parts)
+
+
 GRID_VALUES = ("0.1e0, 0.2e0, 0.4e0, 0.6e0, 0.8e0, 1.0e0", "0e0, 0.05e0, 0.1e0, 0.2e0", "0e0, 0.05e0, 0.1e0, 0.2e0")
 
 BY_AIC = series(True) + grid(*GRID_VALUES) + smoothing(
@@ -1156,4 +1179,12 @@ from daily where dayofmonth(date) = 1"""),
 select series_id, origin, round(avg(abs((actual - predicted) / actual)) filter (where actual <> 0) * 100, 5) as mape,
  round(sqrt(avg((actual - predicted) ** 2)), 5) as rmse, round(avg(abs(actual - predicted)), 5) as mae
 from ahead group by series_id, origin""", recursive=True),
+    "smoothing_in_spans": sql(series(True).replace("daily as (", "daily as (\n select 'terminal' as series_id, date,"
+        " cast(sum(teu_occupied) as double) as value from block_day group by all union all") + HW_STEPS, curve("hw"),
+                              recursive=True),
+    "refined_weights": sql(series(True) + grid(*GRID_VALUES) + smoothing("trials", "tried") + best_trial(
+        "best", "tried") + refined(8), """
+select series_id, 'HoltWinters_Optimised_Additive' as model, round(a, 6) as alpha, round(b, 6) as beta,
+ round(g, 6) as gamma, round(sse, 2) as sse, round(grid_sse, 2) as grid_sse, 1 as not_worse from at_8""", recursive=True),
 }
+ORACLES["backtest_in_spans"] = ORACLES["rolling_backtest"]

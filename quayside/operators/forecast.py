@@ -252,12 +252,51 @@ def _grid_fit(series: DataFrame, grid: Sequence[tuple], multiplicative: bool) ->
     return series.join(best, "series_id")
 
 
+FIRST_STEP = 0.1
+
+
+def _refine(best: DataFrame, rounds: int, multiplicative: bool) -> DataFrame:
+    """Moves the best grid point on: each round tries a step up and down in every weight.
+
+    The best of the six replaces the point where its error is lower; else the step is
+    halved. The error therefore never rises above the grid's.
+    """
+    def tries(at: Column) -> Column:
+        step = F.lit(FIRST_STEP) * F.pow(F.lit(0.5), at["halved"])
+        moves = F.array(*[
+            F.struct(*[F.least(F.greatest(at[k] + step * sign if k == moved else at[k], F.lit(0.0)),
+                               F.lit(1.0)).alias(k) for k in ("alpha", "beta", "gamma")])
+            for moved in ("alpha", "beta", "gamma") for sign in (1, -1)])
+        return F.array_min(F.transform(moves, lambda p: F.struct(
+            _smooth(F.col("train"), p["alpha"], p["beta"], p["gamma"], multiplicative, False)["sse"].alias("sse"),
+            p.alias("p"))))
+
+    def on(at: Column, _: Column) -> Column:
+        def choose(found: Column) -> Column:
+            lower = found["sse"] < at["sse"]
+            return F.struct(
+                F.when(lower, found["sse"]).otherwise(at["sse"]).alias("sse"),
+                *[F.when(lower, found["p"][k]).otherwise(at[k]).alias(k) for k in ("alpha", "beta", "gamma")],
+                (at["halved"] + F.when(lower, 0).otherwise(1)).alias("halved"))
+        return _let(tries(at), choose)
+
+    p = F.col("best.p")
+    start = F.struct(F.col("best.sse").alias("sse"), p["alpha"].alias("alpha"), p["beta"].alias("beta"),
+                     p["gamma"].alias("gamma"), F.lit(0).alias("halved"))
+    found = best.repartition("series_id").withColumn(
+        "found", F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, on))
+    return found.withColumn("grid_sse", F.col("best.sse")).withColumn("best", F.struct(
+        F.col("found.sse").alias("sse"), F.struct("found.alpha", "found.beta", "found.gamma").alias("p"))).drop("found")
+
+
 def optimised_holt_winters(
     series: DataFrame, horizon: int = 14, grid: Sequence[tuple] = tuple(DEFAULT_GRID),
-    multiplicative: bool = False, fallback: bool = True,
+    multiplicative: bool = False, fallback: bool = True, rounds: int = 0,
 ) -> DataFrame:
     """Exponential smoothing with weights searched on a grid, per series.
 
+    ``rounds`` of refinement around the best grid point may follow; ``params`` then also
+    holds the error of the grid (``grid_sse``), which the refined one never exceeds.
     A series that cannot be fitted (shorter than two seasons, or not positive where
     the season multiplies) falls back to the seasonal moving average.
     """
@@ -265,6 +304,10 @@ def optimised_holt_winters(
     if multiplicative:
         fits = fits & (F.array_min("train") > 0)
     best = _grid_fit(series.where(fits), grid, multiplicative)
+    extra = []
+    if rounds:
+        best = _refine(best, rounds, multiplicative)
+        extra = [F.lit("grid_sse"), F.col("grid_sse")]
     p, n = F.col("best.p"), F.size("train")
     states = best.withColumn("state", _smooth(
         F.col("train"), p["alpha"], p["beta"], p["gamma"], multiplicative))
@@ -273,7 +316,7 @@ def optimised_holt_winters(
         states, F.lit(f"HoltWinters_Optimised_{name}"), F.flatten(F.col("state.fitted")),
         _project(F.col("state"), n, _steps(horizon), multiplicative),
         F.create_map(F.lit("alpha"), p["alpha"], F.lit("beta"), p["beta"],
-                     F.lit("gamma"), p["gamma"], F.lit("sse"), F.col("best.sse")))
+                     F.lit("gamma"), p["gamma"], F.lit("sse"), F.col("best.sse"), *extra)).drop("grid_sse")
     if not fallback:
         return fitted
     return fitted.unionByName(seasonal_moving_average(

@@ -17,7 +17,7 @@ from quayside.functions import bands
 from quayside.functions import visit as V
 from quayside.functions.exact import mean_days, sum_money
 from quayside.operators import (
-    cells, change_log, dwell, features, forecast, gate, impact, occupancy, profiles, quality,
+    cells, change_log, dwell, features, forecast, gate, impact, long_series, occupancy, profiles, quality,
     segments,
 )
 from quayside.params import SAMPLE_TARIFF, SAMPLE_YARD, AnalysisParams
@@ -981,3 +981,28 @@ def one_day_series(spark, sf_dir):
 def rolling_backtest(spark, sf_dir):
     return rounded(forecast.rolling_backtest(daily(spark, sf_dir, ["yard_block"])), 5,
                    "mape", "rmse", "mae")
+
+
+@register
+def smoothing_in_spans(spark, sf_dir):
+    """The curve of every block and of the terminal, folded span by span."""
+    days = daily(spark, sf_dir, ["yard_block"]).unionByName(daily(spark, sf_dir))
+    return rounded(long_series.holt_winters_curve(days), 5, "actual", "predicted",
+                   "band_15pct_low", "band_15pct_high")
+
+
+@register
+def backtest_in_spans(spark, sf_dir):
+    return rounded(long_series.rolling_backtest(daily(spark, sf_dir, ["yard_block"])), 5, "mape", "rmse", "mae")
+
+
+@register
+def refined_weights(spark, sf_dir):
+    """Weights of every block after the grid and eight rounds of refinement, and what these gained."""
+    series = forecast.split_series(daily(spark, sf_dir, ["yard_block"]))
+    models = forecast.optimised_holt_winters(series, rounds=8, fallback=False)
+    of = F.col("params")
+    return models.select(
+        "series_id", "model", *[F.round(of[k], 6).alias(k) for k in ("alpha", "beta", "gamma")],
+        F.round(of["sse"], 2).alias("sse"), F.round(of["grid_sse"], 2).alias("grid_sse"),
+        (of["sse"] <= of["grid_sse"]).cast("int").alias("not_worse"))

@@ -91,6 +91,23 @@ def test_search_is_no_worse_in_sample_than_its_grid_points(spark):
     assert forecast.optimised_holt_winters(series, grid=grid).first().params["sse"] == min(both)
 
 
+def test_refinement_never_loses_to_its_grid(spark):
+    series = forecast.split_series(daily(spark, DAILY).unionByName(daily(spark, DAILY[40:120], "part")))
+    for multiplicative in (False, True):
+        rows = forecast.optimised_holt_winters(series, multiplicative=multiplicative, rounds=6).collect()
+        plain = {r.series_id: r.params for r in forecast.optimised_holt_winters(
+            series, multiplicative=multiplicative).collect()}
+        assert {r.series_id for r in rows} == {"terminal", "part"}
+        for r in rows:
+            assert r.params["grid_sse"] == plain[r.series_id]["sse"]
+            assert r.params["sse"] < r.params["grid_sse"]
+            again = forecast.optimised_holt_winters(
+                series.where(F.col("series_id") == r.series_id), multiplicative=multiplicative,
+                grid=[(r.params["alpha"], r.params["beta"], r.params["gamma"])]).first()
+            assert again.params["sse"] == r.params["sse"]
+            assert all(0 <= r.params[k] <= 1 for k in ("alpha", "beta", "gamma"))
+
+
 def test_breach_date(spark):
     model = forecast.holt_winters(forecast.split_series(daily(spark, DAILY)))
     row = forecast.breach(model, capacity=300, warning_pct=84).first()
