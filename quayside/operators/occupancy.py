@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quayside.session import cut_lineage
+
 MEASURES = ["containers", "teu", "overstay_teu", "tier_sum", "tier_count"]
 
 
@@ -100,17 +102,16 @@ def visit_changes(features: DataFrame) -> DataFrame:
 def _by_changes(features: DataFrame) -> DataFrame:
     """Dense (block, type, day) occupancy from entry and exit changes, in one scan.
 
-    The calendar comes from the aggregated changes: its ends are the first and the
-    last day with an entry. Visits without a block count for it, and for nothing else.
+    The changes are written, so the visits are read when this is called, and only then. The
+    calendar is a narrow aggregate of them: its ends are the first and the last day with an
+    entry. Visits without a block count for it, and for nothing else.
     """
-    changes = visit_changes(features)
-    entry = F.when(F.col("entries") > 0, F.col("date"))
-    groups = changes.groupBy("yard_block", "container_type").agg(
-        F.collect_list(F.struct("date", *MEASURES)).alias("days"),
-        F.min(entry).alias("lo"), F.max(entry).alias("hi"))
-    every = Window.partitionBy(F.lit(0))  # one row per block and type
-    groups = groups.withColumns({"lo": F.min("lo").over(every), "hi": F.max("hi").over(every)}) \
-        .where(F.col("yard_block").isNotNull())
+    changes = cut_lineage(visit_changes(features))
+    bounds = changes.where(F.col("entries") > 0).agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+    groups = (
+        changes.where(F.col("yard_block").isNotNull()).groupBy("yard_block", "container_type")
+        .agg(F.collect_list(F.struct("date", *MEASURES)).alias("days"))
+        .withColumns({"lo": bounds.select("lo").scalar(), "hi": bounds.select("hi").scalar()}))
     types = dict(changes.dtypes)
     zero = [F.lit(0).cast(types[m]).alias(m) for m in MEASURES]
     calendar = F.transform(F.sequence("lo", "hi"), lambda day: F.struct(day.alias("date"), *zero))
@@ -143,7 +144,10 @@ def _by_expansion(features: DataFrame) -> DataFrame:
 
 
 def occupancy_by_type(features: DataFrame, method: str = "changes") -> DataFrame:
-    """Dense occupancy per (block, container type, day)."""
+    """Dense occupancy per (block, container type, day).
+
+    ``changes`` writes the changes when it is called; ``expansion`` is lazy.
+    """
     return {"changes": _by_changes, "expansion": _by_expansion}[method](features)
 
 

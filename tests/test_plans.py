@@ -21,8 +21,19 @@ def plan_of(df):
 
 
 def test_yard_occupancy_reads_the_visits_once(spark):
+    changes = occupancy.visit_changes(catalog.feats(spark, DATA))
+    assert len(re.findall(r"Scan parquet.*l_orderkey", plan_of(changes))) == 1
     by_type = occupancy.occupancy_by_type(catalog.feats(spark, DATA))
-    assert len(re.findall(r"Scan parquet.*l_orderkey", plan_of(by_type))) == 1
+    assert "l_orderkey" not in plan_of(by_type)  # all else comes from the stored changes
+
+
+def test_no_task_holds_the_days_of_all_groups(spark):
+    """Only the one-row ends of the calendar come together in a single partition."""
+    plan = plan_of(occupancy.occupancy_by_type(catalog.feats(spark, DATA)))
+    single = re.findall(r"Exchange SinglePartition.*\n.*", plan)
+    assert single and all("partial_min(date" in s or "partial_max(date" in s for s in single)
+    windows = re.findall(r"Window \[.*", plan)
+    assert windows and all("yard_block" in w for w in windows)
 
 
 def test_visits_are_not_shuffled_by_number(spark):
