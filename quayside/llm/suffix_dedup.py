@@ -50,6 +50,7 @@ SYMBOLS = WIDTH // STEP
 SHARD_PASSAGES = 4000
 HOT_PASSAGES = 20_000
 U64 = K.U64
+_ODD = U64(0x9E3779B97F4A7C15)  # any large odd number
 _SPOTS = "doc_id bigint, t bigint, anchor bigint, at int, n int"
 _PREPARED = "doc_id bigint, t bigint, n_bytes bigint, whole binary, copies boolean, text string, at array<int>, n array<int>, anchors array<bigint>"
 _PASSAGES = "doc_id bigint, t bigint, anchor bigint, content bigint, at int, n int"
@@ -58,14 +59,32 @@ _RUNS = "anchor bigint, content bigint, start array<int>, stop array<int>"
 _KEPT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 binary"
 
 
-def passages(data: np.ndarray, offsets: np.ndarray, sums: np.ndarray):
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """A hash of the ``GRAM`` bytes from each place on, from halves that may overlap.
+
+    It only chooses anchors: bytes with equal hashes are more to compare, never a repeat.
+    """
+    if len(data) < GRAM:
+        return np.zeros(0, dtype=U64)
+    out, size = data.astype(U64), 1
+    while size < 8:
+        out = (out[:-size] << U64(8 * size)) | out[size:]
+        size *= 2
+    out = K.mix(out)
+    while size < GRAM:
+        shift = min(size, GRAM - size)
+        out = K.mix(out[:-shift] * _ODD + out[shift:])
+        size += shift
+    return out
+
+
+def passages(data: np.ndarray, offsets: np.ndarray):
     """Anchor, first window (place in the block), number of windows and text of each passage.
 
     A passage ends where its anchor's first place leaves the window, so equal windows of
     one text are never in the same passage.
     """
-    start = np.arange(max(len(data) - GRAM + 1, 0))
-    gram = K.span_hash(sums, start, start + GRAM)
+    gram = gram_hashes(data)
     least = K.sliding_minimum(gram, WIDTH - GRAM + 1)
     leaves = gram[:len(least)] == least
     place = np.arange(len(least))
@@ -83,7 +102,7 @@ def _spot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, t = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         for row, end_row, data, offsets in K.blocks(batch.column(2)):
-            anchor, place, n, text = passages(data, offsets, K.prefix_hash(data))
+            anchor, place, n, text = passages(data, offsets)
             yield pa.RecordBatch.from_arrays([
                 pa.array(ids[row:end_row][text]), pa.array(t[row:end_row][text]), pa.array(anchor.view(np.int64)),
                 pa.array((place - offsets[text]).astype(np.int32)), pa.array(n.astype(np.int32))], schema=schema)
