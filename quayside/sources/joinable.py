@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BUCKETS = 64  # of a cluster's table; a bucket of one month is one file
+ROWS_PER_BUCKET = 1_000_000  # a bucket is written, and joined, by one task
 KEY = "visit_id"
 
 
@@ -19,6 +20,11 @@ def month_of(time: str = "gate_in_time") -> Column:
     return (F.year(time) * 100 + F.month(time)).cast("int")
 
 
+def buckets_for(rows: int, least: int = BUCKETS) -> int:
+    """The number of buckets for so many rows, so that a task's share stays as it is when tables grow."""
+    return max(least, -(-rows // ROWS_PER_BUCKET))
+
+
 def write_joinable(df: DataFrame, table: str, path: str, buckets: int = BUCKETS, by_month: bool = True) -> None:
     """Stores ``df`` as ``table``, by month of entry where ``by_month``.
 
