@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 from quayside import schema as S
 from quayside.functions import visit as V
 from quayside.functions.exact import quantiles
+from quayside.session import cut_lineage
 from quayside.sources.visits import POSITION, RAW, RAW_OUT
 
 CHECK_SCHEMA = "check string, level string, column string, metric string, value double"
@@ -278,7 +279,15 @@ def documented_checks(visits: DataFrame, as_of: str | None = None) -> DataFrame:
 
 
 def quality_checks(visits: DataFrame, as_of: str | None = None) -> DataFrame:
-    """All checks that decide the status of a data set."""
+    """All checks that decide the status of a data set.
+
+    The visits are written once, with the columns that the checks read, and all checks read them there.
+    """
+    used = {"visit_id", POSITION, *RAW.values(), *data_columns(visits)}
+    void = {f.name for f in visits.schema.fields if f.dataType.typeName() == "void"}  # parquet has no such type
+    visits = cut_lineage(visits.select(*[
+        F.col(f"`{c}`").cast("string").alias(c) if c in void else F.col(f"`{c}`")
+        for c in visits.columns if c in used or not source_order(visits)]))
     return (row_checks(visits, as_of)
             .unionByName(duplicate_checks(visits))
             .unionByName(minimum_checks(clean_visits(visits, as_of))))
