@@ -59,7 +59,7 @@ def segmentation(spark) -> None:
 def kmeans_fit(spark) -> None:
     points = cut_lineage(segments.weighted_points(
         segments.scaled_features(catalog.feats(spark, SF_DIR))))
-    segments.fit_kmeans(segments._assembled(points), 8, n_init=1, seed=42)
+    segments.fit_kmeans(points, 8, n_init=1, seed=42)
 
 
 def main() -> None:

@@ -10,11 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -22,7 +18,7 @@ from pyspark.sql.window import Window
 from quayside.functions import bands
 from quayside.functions.exact import cents, mean_days, mean_money, quantiles_wide, sum_money
 from quayside.functions.visit import dwell_micros
-from quayside.operators import cells
+from quayside.operators import cells, kmeans
 from quayside.operators.quality import adjusted_skewness
 from quayside.session import cut_lineage
 
@@ -267,6 +263,7 @@ class Sweep:
     scaled: DataFrame
     metrics: DataFrame
     models: dict = field(default_factory=dict)
+    points: DataFrame | None = None  # the weighted points of ``scaled`` with all labels, where stored
 
     def label(self, algorithm: str, k: int) -> DataFrame:
         """The closed visits with the labels of one model (no join needed)."""
@@ -278,17 +275,13 @@ def _label_name(algorithm: str, k: int) -> str:
     return f"label_{algorithm}_{k}"
 
 
-def _assembled(points: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=Z, outputCol="vector").transform(points)
-
-
 def _labelled(points: DataFrame, models: dict) -> DataFrame:
-    out = _assembled(points)
+    """Points with a label for each model; labels that are there already are kept."""
+    models = {key: m for key, m in models.items() if _label_name(*key) not in points.columns}
     linked = {key: m for key, m in models.items() if isinstance(m, cells.WardModel)}
-    for (algorithm, k), model in models.items():
-        if (algorithm, k) not in linked:
-            out = model.setPredictionCol(_label_name(algorithm, k)).transform(out)
-    out = out.drop("vector")
+    out = points.withColumns({
+        _label_name(*key): F.coalesce(_nearest(m.clusterCenters()), F.lit(0))
+        for key, m in models.items() if key not in linked})
     if not linked:
         return out
     first = next(iter(linked.values()))  # all cuts of one tree
@@ -303,13 +296,9 @@ def _nearest(centres: Sequence[Sequence[float]]) -> Column:
                                  for i, c in enumerate(centres)]))["i"]
 
 
-def fit_kmeans(points: DataFrame, k: int, n_init: int, seed: int, max_iter: int = 300):
+def fit_kmeans(points: DataFrame, k: int, n_init: int, seed: int, max_iter: int = 300) -> kmeans.KMeansModel:
     """Best of ``n_init`` restarts by within-cluster sum of squares."""
-    fits = (
-        KMeans(k=k, featuresCol="vector", weightCol="w", maxIter=max_iter,
-               seed=seed + i, initMode="k-means||").fit(points)
-        for i in range(n_init))
-    return min(fits, key=lambda m: m.summary.trainingCost)
+    return kmeans.fit(points, Z, [k], n_init, seed, max_iter)[k]
 
 
 def sweep(
@@ -319,7 +308,6 @@ def sweep(
     n_init: int = 10,
     seed: int = 42,
     max_iter: int = 300,
-    parallel_fits: int = 8,
     silhouette_leaves: int = cells.SILHOUETTE_LEAVES,
 ) -> Sweep:
     """Fit every algorithm and k, and measure all models in shared passes.
@@ -332,18 +320,14 @@ def sweep(
     points = cut_lineage(weighted_points(scaled))
     models: dict = {}
     if "KMeans" in algorithms:
-        vectors = _assembled(points).persist()
-        try:
-            with ThreadPool(parallel_fits) as pool:
-                models.update(pool.map(inheritable_thread_target(points.sparkSession)(
-                    lambda k: (("KMeans", k), fit_kmeans(vectors, k, n_init, seed, max_iter))), ks))
-        finally:
-            vectors.unpersist()
+        fitted = kmeans.fit(points, Z, list(ks), n_init, seed, max_iter)
+        models.update({("KMeans", k): m for k, m in fitted.items()})
     if "Hierarchical" in algorithms:
         models.update({("Hierarchical", k): m for k, m in cells.fit_ward(points, Z, list(ks)).items()})
+    points = cut_lineage(_labelled(points, models))
     metrics = model_metrics(points, models).drop("silhouette", "silhouette_metric")
     scores = silhouettes(points, models, silhouette_leaves).withColumn("silhouette_metric", F.lit("euclidean"))
-    return Sweep(scaled, cut_lineage(metrics.join(scores, ["algorithm", "k"])), models)
+    return Sweep(scaled, cut_lineage(metrics.join(scores, ["algorithm", "k"])), models, points)
 
 
 def silhouettes(points: DataFrame, models: dict, leaves: int = cells.SILHOUETTE_LEAVES) -> DataFrame:
@@ -414,7 +398,8 @@ def fit_facts(result: Sweep, tolerance: float = 0.01) -> DataFrame:
     their means lowers the inertia by less than ``tolerance`` of it; ``falls``: the
     inertia is not above that of fewer segments.
     """
-    long = _long(weighted_points(result.scaled), result.models)
+    points = weighted_points(result.scaled) if result.points is None else result.points
+    long = _long(points, result.models)
     model = ["algorithm", "k"]
     w = F.col("w")
     by_cluster = long.groupBy(*model, "cluster").agg(
