@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quayside.session import cut_lineage, send_package
+from quayside.session import send_package
 
 TOLERANCE = 1e-4  # a model has settled when no centre moves further
 INIT_ROUNDS = 2  # of oversampling, each with twice as many candidates as clusters
@@ -181,13 +181,13 @@ def fit(points: DataFrame, columns: Sequence[str], ks: Sequence[int], n_init: in
         max_iter: int = 300) -> dict[int, KMeansModel]:
     """For every k the best of ``n_init`` restarts by inertia, over points weighted by ``w``.
 
-    Distinct points are stored first and read once for each step of the slowest model.
+    The points are read once for each step of the slowest model, so they should be stored; equal
+    points should be merged, as a draw of candidates takes them together.
     """
     columns = list(columns)
     send_package(points.sparkSession)
     runs = [(k, seed + i) for k in ks for i in range(n_init)]
-    distinct = points.groupBy(*[F.col(c).cast("double").alias(c) for c in columns]).agg(F.sum("w").alias("w"))
-    rows = cut_lineage(distinct.withColumn("h", F.xxhash64(*columns)))
+    rows = points.select(*[F.col(c).cast("double").alias(c) for c in columns], "w", F.xxhash64(*columns).alias("h"))
     centres = _starts(rows, columns, [k for k, _ in runs], [s for _, s in runs])
     moving = list(range(len(runs)))
     for _ in range(max_iter):
