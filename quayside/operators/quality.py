@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from quayside import schema as S
 from quayside.functions import visit as V
 from quayside.functions.exact import quantiles
-from quayside.session import cut_lineage
+from quayside.session import broadcastable, cut_lineage
 from quayside.sources.visits import POSITION, RAW, RAW_OUT
 
 CHECK_SCHEMA = "check string, level string, column string, metric string, value double"
@@ -67,14 +67,33 @@ def keep_first(visits: DataFrame, keys: Sequence[str] = tuple(KEY)) -> DataFrame
             .where(F.col("_n") == 1).drop("_n"))
 
 
-def clean_visits(visits: DataFrame, as_of: str | None = None) -> DataFrame:
+def _same_key() -> Column:
+    """Whether a visit has the key of a row of ``repeated_keys``, nulls being equal."""
+    same_key = F.lit(True)
+    for c in KEY:
+        same_key = same_key & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return same_key
+
+
+def repeated_keys(visits: DataFrame) -> DataFrame:
+    """The keys that occur more than once, with their rows. Keys are counted on the map side first."""
+    return (visits.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > 1)
+            .select("n", *[F.col(c).alias(f"_{c}") for c in KEY]))
+
+
+def clean_visits(visits: DataFrame, as_of: str | None = None, repeated: DataFrame | None = None) -> DataFrame:
     """Visits without duplicates, reversed intervals and future timestamps.
 
     A duplicate is judged over all rows, before the other exclusions. Exact
-    copies share their key, so the key alone finds both kinds.
+    copies share their key, so the key alone finds both kinds. Where the stored
+    ``repeated_keys`` are given and few, only the visits under them are shuffled.
     """
     bad = is_reversed() | is_future("gate_in_time", as_of) | is_future("gate_out_time", as_of)
-    return keep_first(visits).where(~bad)
+    if repeated is None or not broadcastable(repeated):
+        return keep_first(visits).where(~bad)
+    once = visits.join(repeated, _same_key(), "left_anti")
+    return once.unionByName(keep_first(visits.join(repeated, _same_key(), "left_semi"))).where(~bad)
 
 
 def excluded_visits(visits: DataFrame, as_of: str | None = None) -> DataFrame:
@@ -86,21 +105,16 @@ def excluded_visits(visits: DataFrame, as_of: str | None = None) -> DataFrame:
     }).where(F.greatest("is_reversed", "is_future_in", "is_future_out") == 1)
 
 
-def duplicate_counts(visits: DataFrame) -> DataFrame:
+def duplicate_counts(visits: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """Surplus exact copies and surplus rows per key (one row).
 
     Exact copies share their key, so whole rows are only compared under keys
-    that occur more than once. Keys are counted, and equal rows merged, on the
-    map side before anything is shuffled.
+    that occur more than once. Equal rows are merged on the map side before
+    anything is shuffled. ``repeated_keys`` that are stored can be given.
     """
-    repeated = (visits.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
-                .where(F.col("n") > 1)
-                .select("n", *[F.col(c).alias(f"_{c}") for c in KEY]))
-    same_key = F.lit(True)
-    for c in KEY:
-        same_key = same_key & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    repeated = repeated_keys(visits) if repeated is None else repeated
     exact = (
-        visits.join(repeated, same_key, "left_semi")
+        visits.join(repeated, _same_key(), "left_semi")
         .groupBy(*[F.col(f"`{c}`") for c in data_columns(visits)]).agg(F.count(F.lit(1)).alias("copies"))
         .agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))).scalar()
     )
@@ -217,8 +231,8 @@ def row_rules(visits: DataFrame, as_of: str | None = None) -> _Checks:
     return c
 
 
-def duplicate_checks(visits: DataFrame) -> DataFrame:
-    counts = duplicate_counts(visits)
+def duplicate_checks(visits: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    counts = duplicate_counts(visits, repeated)
     rows = [
         F.struct(F.lit(name).alias("check"), _level(F.col(name) > 0, "warning").alias("level"),
                  F.lit(column).alias("column"), F.lit("rows").alias("metric"),
@@ -278,11 +292,17 @@ def documented_checks(visits: DataFrame, as_of: str | None = None) -> DataFrame:
     return c.table(visits)
 
 
-def quality_checks(visits: DataFrame, as_of: str | None = None) -> DataFrame:
+def quality_checks(visits: DataFrame, as_of: str | None = None, repeated: DataFrame | None = None) -> DataFrame:
     """All checks that decide the status of a data set.
 
     The visits are written once, with the columns that the checks read, and all checks read them there.
+    Visits that files hold already are read from those, if their ``repeated_keys`` are given, stored too; the
+    checks are then made in turn, so that rows shuffled for one need not be kept beside those of the next.
     """
+    if repeated is not None:
+        return (row_checks(visits, as_of)
+                .unionByName(cut_lineage(duplicate_checks(visits, repeated)))
+                .unionByName(cut_lineage(minimum_checks(clean_visits(visits, as_of, repeated)))))
     used = {"visit_id", POSITION, *RAW.values(), *data_columns(visits)}
     void = {f.name for f in visits.schema.fields if f.dataType.typeName() == "void"}  # parquet has no such type
     visits = cut_lineage(visits.select(*[

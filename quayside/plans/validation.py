@@ -74,13 +74,18 @@ def validate(
     as_of: str | None = None,
     yard_given: bool = False,
     tariff_given: bool = False,
+    from_files: bool = False,
 ) -> Validation:
-    """Check ``visits``; without all required columns no job is run at all."""
+    """Check ``visits``; without all required columns no job is run at all.
+
+    Visits ``from_files``, as ``load_visits`` gives them, are read there again and not written once more.
+    """
     configs = {"yard_config_provided": yard_given, "tariff_config_provided": tariff_given}
     if missing_required(visits.columns):
         return Validation(Q.schema_checks(spark, visits.columns), None, visits, configs)
-    clean = Q.clean_visits(visits, as_of)
-    checks = cut_lineage(Q.quality_checks(visits, as_of))  # a few dozen rows, used repeatedly
+    repeated = cut_lineage(Q.repeated_keys(visits)) if from_files else None
+    clean = Q.clean_visits(visits, as_of, repeated)
+    checks = cut_lineage(Q.quality_checks(visits, as_of, repeated))  # a few dozen rows, used repeatedly
     return Validation(checks, clean, visits, configs)
 
 
@@ -90,7 +95,7 @@ def validate_files(
 ) -> Validation:
     """Load and check visit files; files that cannot be read give a FAIL report, not an error."""
     try:
-        return validate(spark, load_visits(spark, path, fmt), as_of, yard_given, tariff_given)
+        return validate(spark, load_visits(spark, path, fmt), as_of, yard_given, tariff_given, from_files=True)
     except (PySparkException, Py4JJavaError) as error:
         checks = spark.createDataFrame([("unreadable_file", "error", "*", "files", 1.0)], Q.CHECK_SCHEMA)
         configs = {"yard_config_provided": yard_given, "tariff_config_provided": tariff_given,

@@ -6,6 +6,9 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,21 +71,52 @@ def send_package(spark: SparkSession) -> None:
 
 
 _made: list[str] = []
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+# Deletes what a query shuffled when it ends; Spark reads it for each query anew.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh path for intermediate files, next to the checkpoints."""
     path = f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
     _made.append(path)
+    if (passing := _passing.get()) is not None:
+        passing.append(path)
     return path
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Deletes the intermediate files of this driver, once nothing reads them any more."""
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Deletes intermediate files that nothing reads any more."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _made:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
+        if name in _made:
+            _made.remove(name)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes the intermediate files of this driver, once nothing reads them any more."""
+    discard(spark, *_made)
+
+
+@contextmanager
+def passing_files(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the scratch folders made within, and what a query shuffled once that query has ended.
+
+    For work whose result is written to a folder made before; nothing that was made within may be read afterwards.
+    """
+    token, before = _passing.set(made := []), spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+        _passing.reset(token)
+        discard(spark, *made)
 
 
 def in_turn(spark: SparkSession, path: str) -> None:
@@ -100,7 +134,13 @@ def in_turn(spark: SparkSession, path: str) -> None:
         store.setTimes(f.getPath(), start + 1000 * i, -1)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def broadcastable(df: DataFrame) -> bool:
+    """Whether Spark would rather send ``df`` to all tasks than shuffle what it is joined with."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return size <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
+def cut_lineage(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read on from there.
 
     The files outlive the executors that wrote them. Parquet rather than an RDD
@@ -109,5 +149,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_folder(spark, "stage")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)

@@ -42,7 +42,7 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
         for c in raw.columns
     ]
     split = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_offset")]
-    rows = cut_lineage(raw.select(*cleaned, *split, F.monotonically_increasing_id().alias("_id")))
+    rows = cut_lineage(raw.select(*cleaned, *split, F.monotonically_increasing_id().alias("_id")), "zstd")
     # A split is read front to back by one task, so ids run on within it. How files are
     # cut into splits depends on the session; the row's number in its file does not.
     splits = rows.groupBy("_file", "_offset").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
